@@ -365,7 +365,8 @@ def roc_points(curve: DataFrame, score: str, *, most: int = 200) -> DataFrame:
     step = (F.col("size") - 1) / F.lit(float(most - 1))
     nearest = F.floor(F.col("position") / step)
     picked = F.exists(
-        F.sequence(nearest - 1, nearest + 2), lambda k: F.floor(k * step) == F.col("position")
+        F.sequence(nearest - 1, nearest + 2),
+        lambda k: (k < most - 1) & (F.floor(k * step) == F.col("position")),
     )
     last = F.col("position") == F.col("size") - 1
     return points.where((F.col("size") <= most) | picked | last).drop("size")
