@@ -16,6 +16,7 @@ from timeward.functions.scalars import clipped
 from timeward.names import ID, LABEL
 from timeward.operators.metrics import probability_losses, ranking_metrics
 from timeward.operators.ordered import hash_rank
+from timeward.session import materialize
 
 # The methods in order of preference, the folds, and the ranking a method may cost.
 METHODS = ("isotonic", "platt")
@@ -51,18 +52,20 @@ class Calibrator:
         )
 
 
-def grouped_scores(scored: DataFrame, score: str, label: str = LABEL) -> DataFrame:
+def grouped_scores(
+    scored: DataFrame, score: str, label: str = LABEL, weight: str | None = None
+) -> DataFrame:
     """One weighted record per distinct (score, label), which is all a calibrator needs."""
-    return (
-        scored.groupBy(
-            F.col(score).cast("double").alias("_score"), F.col(label).cast("double").alias("_y")
-        )
-        .agg(F.count(F.lit(1)).cast("double").alias("_w"))
-    )
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return scored.groupBy(
+        F.col(score).cast("double").alias("_score"), F.col(label).cast("double").alias("_y")
+    ).agg(rows.cast("double").alias("_w"))
 
 
-def fit_calibrator(scored: DataFrame, score: str, method: str, label: str = LABEL) -> Calibrator:
-    points = grouped_scores(scored, score, label)
+def fit_calibrator(
+    scored: DataFrame, score: str, method: str, label: str = LABEL, *, weight: str | None = None
+) -> Calibrator:
+    points = grouped_scores(scored, score, label, weight)
     if method == "isotonic":
         pooled = points.groupBy("_score").agg(
             (F.sum(F.col("_y") * F.col("_w")) / F.sum("_w")).alias("_y"), F.sum("_w").alias("_w")
@@ -89,7 +92,7 @@ def fit_calibrator(scored: DataFrame, score: str, method: str, label: str = LABE
                 elasticNetParam=0.0,
                 standardization=False,
                 maxIter=200,
-                tol=1e-10,
+                tol=1e-9,
             )
             vectors = VectorAssembler(inputCols=["_score"], outputCol="_x").transform(points)
             return Calibrator(method, fit.fit(vectors))
@@ -110,25 +113,32 @@ def fold_losses(
 ) -> DataFrame:
     """(fold, method, log_loss, pr_auc_loss), each measured on rows the fit did not see."""
     dealt = with_folds(scored.select(key, score, label), label, key=key, folds=folds, seed=seed)
-    out = None
+    # Records per (fold, score, label), written once: every fit and every metric reads them.
+    points = materialize(
+        dealt.groupBy("fold", score, label).agg(F.count(F.lit(1)).alias("_rows")), "fold-points"
+    )
+    judged = points.select(
+        "fold", F.lit("raw").alias("method"), label, "_rows", F.col(score).cast("double").alias("_p")
+    )
     for fold in range(folds):
-        fit_on, held = dealt.where(F.col("fold") != fold), dealt.where(F.col("fold") == fold)
-        raw = ranking_metrics(held, score, label).select(F.col("pr_auc").alias("_raw_pr_auc"))
+        fit_on, held = points.where(F.col("fold") != fold), points.where(F.col("fold") == fold)
         for method in methods:
-            predicted = fit_calibrator(fit_on, score, method, label).apply(held, score, "_probability")
-            found = (
-                probability_losses(predicted, "_probability", label)
-                .crossJoin(F.broadcast(ranking_metrics(predicted, "_probability", label)))  # one row
-                .crossJoin(F.broadcast(raw))  # one row
-                .select(
-                    F.lit(fold).alias("fold"),
-                    F.lit(method).alias("method"),
-                    "log_loss",
-                    (F.col("_raw_pr_auc") - F.col("pr_auc")).alias("pr_auc_loss"),
+            fitted = fit_calibrator(fit_on, score, method, label, weight="_rows")
+            judged = judged.unionByName(
+                fitted.apply(held, score, "_q").select(
+                    "fold", F.lit(method).alias("method"), label, "_rows", F.col("_q").alias("_p")
                 )
             )
-            out = found if out is None else out.unionByName(found)
-    return out
+    groups = ["fold", "method"]
+    ranked = ranking_metrics(judged, "_p", label, weight="_rows", by=groups).select(*groups, "pr_auc")
+    raw = ranked.where("method = 'raw'").select("fold", F.col("pr_auc").alias("_raw"))
+    fits = judged.where("method <> 'raw'")
+    return (
+        probability_losses(fits, "_p", label, weight="_rows", by=groups)
+        .join(ranked, groups)
+        .join(raw, "fold")
+        .select("fold", "method", "log_loss", (F.col("_raw") - F.col("pr_auc")).alias("pr_auc_loss"))
+    )
 
 
 def choose_method(losses: DataFrame, *, budget: float = MAX_PR_AUC_LOSS) -> DataFrame:

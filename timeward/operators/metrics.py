@@ -40,16 +40,25 @@ def score_curve(
     label: str = LABEL,
     *,
     amount: str | None = None,
+    weight: str | None = None,
     by: Sequence[str] = (),
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """Per distinct score, highest first: ``pos``, ``neg`` (and ``lost``, the fraud amount) with
-    running and overall totals. ``cum_pos``/``cum_neg`` count rows at or above the score."""
-    sums = {"pos": F.count_if(_fraud(label)), "neg": F.count_if(~_fraud(label))}
+    running and overall totals. ``cum_pos``/``cum_neg`` count rows at or above the score.
+
+    ``weight`` is the number of rows a record stands for.
+    """
+    if weight is None:
+        sums = {"pos": F.count_if(_fraud(label)), "neg": F.count_if(~_fraud(label))}
+    else:
+        count = lambda which: F.coalesce(F.sum(F.when(which, F.col(weight))), F.lit(0))
+        sums = {"pos": count(_fraud(label)), "neg": count(~_fraud(label))}
     if amount is not None:
         sums["lost"] = F.coalesce(
             F.sum(F.when(_fraud(label), F.col(amount).cast("double"))), F.lit(0.0)
         )
-    return running_totals(scored, score, sums, by=by, descending=True)
+    return running_totals(scored, score, sums, by=by, descending=True, edges=edges)
 
 
 def ranking_from_curve(curve: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
@@ -69,9 +78,14 @@ def ranking_from_curve(curve: DataFrame, *, by: Sequence[str] = ()) -> DataFrame
 
 
 def ranking_metrics(
-    scored: DataFrame, score: str, label: str = LABEL, *, by: Sequence[str] = ()
+    scored: DataFrame,
+    score: str,
+    label: str = LABEL,
+    *,
+    weight: str | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    return ranking_from_curve(score_curve(scored, score, label, by=by), by=by)
+    return ranking_from_curve(score_curve(scored, score, label, weight=weight, by=by), by=by)
 
 
 def class_balance(rows: DataFrame, label: str = LABEL) -> DataFrame:
@@ -247,12 +261,22 @@ def cheapest_threshold(costs: DataFrame) -> DataFrame:
 # ---- probabilities ---------------------------------------------------------------------------
 
 
-def probability_losses(scored: DataFrame, probability: str, label: str = LABEL) -> DataFrame:
+def probability_losses(
+    scored: DataFrame,
+    probability: str,
+    label: str = LABEL,
+    *,
+    weight: str | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Brier score and log loss, per ``by`` group."""
     p, y = F.col(probability), _fraud(label).cast("double")
     q = clipped(p, _CLIP, 1 - _CLIP)
     loss = -(y * F.log(q) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - q))
-    return scored.agg(
-        F.avg((p - y) * (p - y)).alias("brier"), F.avg(loss).alias("log_loss")
+    w = F.lit(1.0) if weight is None else F.col(weight)
+    mean = lambda c: F.sum(c * w) / F.sum(w)
+    return scored.groupBy(*by).agg(
+        mean((p - y) * (p - y)).alias("brier"), mean(loss).alias("log_loss")
     )
 
 

@@ -1,9 +1,9 @@
 """Running totals, ranks and exact quantiles over a whole table's order.
 
 A window without a partition key would pull the table into one task. Rows are first reduced to
-one record per distinct value, the value axis is cut into ranges, running totals are taken inside
-each range, and the totals of the earlier ranges are joined on. The cuts only steer how evenly
-the work spreads; the result does not depend on where they fall.
+one record per distinct value. Beyond a counted number of records the value axis is cut into
+ranges, running totals are taken inside each range, and the totals of the earlier ranges are
+joined on. The cuts only steer how evenly the work spreads; the result does not depend on them.
 """
 
 from __future__ import annotations
@@ -15,24 +15,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES = 256
+# Up to this many records, one sorted task beats ranges and a join.
+WHOLE_BELOW = 100_000
 # Hash digits that fit a signed 64-bit integer.
 _HASH_DIGITS = 15
 
 
 def cut_points(values: DataFrame, column: str, ranges: int = RANGES) -> list[float]:
-    """Range edges from approximate quantiles: at most ``ranges`` numbers on the driver."""
+    """Range edges from approximate quantiles: at most ``ranges`` numbers on the driver.
+
+    None at all when the counted records fit one task.
+    """
+    if values.count() <= WHOLE_BELOW:
+        return []
     fractions = [i / ranges for i in range(1, ranges)]
     return sorted(set(values.approxQuantile(column, fractions, 1.0 / (4 * ranges))))
 
 
-def with_range(
-    values: DataFrame, column: str, ranges: int = RANGES, edges: Sequence[float] | None = None
-) -> DataFrame:
+def with_range(values: DataFrame, column: str, edges: Sequence[float]) -> DataFrame:
     """Adds ``_range``, non-decreasing in ``column``."""
-    if edges is None:
-        edges = cut_points(values, column, ranges)
-    if not edges:
-        return values.withColumn("_range", F.lit(0))
     splits = [float("-inf"), *edges, float("inf")]
     slicer = Bucketizer(splits=splits, inputCol="_axis", outputCol="_range")
     placed = values.withColumn("_axis", F.col(column).cast("double"))
@@ -79,12 +80,27 @@ def accumulate(
     by = list(by)
     if edges is None:
         edges = cut_points(values, order, ranges)
-    placed = with_range(values, order, ranges, edges)
-    return _accumulate_ranges(placed, [order], names, by, descending)
+    if not edges:
+        return _accumulate_whole(values, order, names, by, descending)
+    return _accumulate_ranges(with_range(values, order, edges), order, names, by, descending)
+
+
+def _accumulate_whole(
+    values: DataFrame, order: str, names: Sequence[str], by: list[str], descending: bool
+) -> DataFrame:
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    upto = group.orderBy(F.col(order).desc() if descending else F.col(order).asc())
+    upto = upto.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return values.withColumns(
+        {
+            **{f"all_{n}": F.sum(n).over(group) for n in names},
+            **{f"cum_{n}": F.sum(n).over(upto) for n in names},
+        }
+    )
 
 
 def _accumulate_ranges(
-    placed: DataFrame, order: Sequence[str], names: Sequence[str], by: list[str], descending: bool
+    placed: DataFrame, order: str, names: Sequence[str], by: list[str], descending: bool
 ) -> DataFrame:
     span = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = span.orderBy(F.col("_range").desc() if descending else F.col("_range"))
@@ -107,7 +123,7 @@ def _accumulate_ranges(
     )
     inside = (
         Window.partitionBy(*keys)
-        .orderBy(*[F.col(c).desc() if descending else F.col(c).asc() for c in order])
+        .orderBy(F.col(order).desc() if descending else F.col(order).asc())
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return joined.withColumns(

@@ -22,6 +22,7 @@ from timeward.operators.metrics import (
     operating_point,
     precision_recall_points,
     probability_losses,
+    ranking_from_curve,
     product_segments,
     ranking_metrics,
     reliability,
@@ -73,6 +74,24 @@ SELECT CAST(max(all_pos + all_neg) AS BIGINT) AS "rows", CAST(max(all_pos) AS BI
     )
 
 
+    # The route for curves beyond one task, forced by fixed cuts.
+    query(
+        f"d13_ranking_in_ranges_{_source}",
+        "D13 D14",
+        f"""{scored_sql(_source)}, {curve_cte()}
+SELECT CAST(max(all_pos + all_neg) AS BIGINT) AS "rows", CAST(max(all_pos) AS BIGINT) AS positives,
+  {steady_sql(_AP, 6)} AS pr_auc, {steady_sql(_ROC, 6)} AS roc_auc FROM cv""",
+    )(
+        lambda spark, folder, s=_source: _steady(
+            ranking_from_curve(
+                score_curve(scored(spark, folder, s), P, edges=[i / 16 for i in range(1, 16)])
+            ),
+            "pr_auc",
+            "roc_auc",
+        )
+    )
+
+
 @query(
     "d13_ranking_by_product",
     "D13 D14 D23",

@@ -1,0 +1,212 @@
+"""Fitted models and what is measured on them.
+
+A fitted model has no SQL counterpart. Where a property of the result does, that is compared.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from timeward.functions.derive import Derivation
+from timeward.names import AMOUNT, CARD_SEEN, ID, LABEL, PRODUCT, SPLIT
+from timeward.operators.calibration import METHODS, choose_method, fit_calibrator, fold_losses
+from timeward.operators.metrics import noise_summary, ranking_metrics
+from timeward.operators.ordered import seeded_hash
+from timeward.operators.splits import split_table
+from timeward.plans.features import model_input
+from timeward.plans.models import (
+    BASELINE_COLUMNS,
+    TreeInputs,
+    baseline_metrics,
+    contributions,
+    fit_baseline,
+    fit_trees,
+    global_attribution,
+    random_search,
+    score_baseline,
+    top_decisions,
+)
+from timeward.plans.scoring import log_predictions, score_rows
+from timeward.plans.training import train
+from timeward.registry import query, steady, steady_sql
+from timeward.registry.adapters import scored, transactions
+from timeward.registry.history import transaction_features
+from timeward.registry.splitting import splits_cte
+from timeward.session import materialize, scratch_path
+from timeward.sources.sinks import read_log
+
+_INPUTS = TreeInputs(tuple(BASELINE_COLUMNS), (PRODUCT,))
+_SMALL = {"max_iter": 4, "maxDepth": 3, "stepSize": 0.2}
+
+
+def _frame(spark, folder):
+    """Orders with the core features and their split, written once for the fits."""
+    joined = transactions(spark, folder, "orders").select(
+        ID, "TransactionDT", AMOUNT, LABEL, PRODUCT, "card1", "addr1", "D1", "D3", "DeviceInfo"
+    )
+    features = transaction_features(joined, c_columns=(), m_columns=())
+    whole = model_input(joined, features, ())
+    # A column that does carry signal, next to features that have none on this data.
+    signal = F.expr(f"({ID} * 7919 % 1000) * 7 + 3000 * {LABEL}").cast("double")
+    whole = whole.withColumn("signal", signal)
+    return materialize(whole.join(split_table(joined), ID), "model-frame")
+
+
+def _part(frame, name):
+    return frame.where(F.col(SPLIT) == name)
+
+
+@query(
+    "k02_baseline_scores",
+    "K1 K2 H11",
+    f"""{splits_cte('orders')}
+SELECT tx.TransactionID, tx.isFraud AS y_true, true AS is_probability FROM tx JOIN sp USING (TransactionID) WHERE split = 'val'""",
+)
+def baseline_scores(spark, folder):
+    frame = _frame(spark, folder)
+    model = fit_baseline(_part(frame, "train"))
+    out = score_baseline(model, _part(frame, "val"), keep=[ID])
+    return out.select(ID, "y_true", F.col("y_score").between(0.0, 1.0).alias("is_probability"))
+
+
+@query(
+    "k02_baseline_metrics",
+    "K1 K2 D13 D14",
+    f"""{splits_cte('orders')}
+SELECT count(*) AS "rows", {steady_sql('avg(isFraud)', 6)} AS positive_rate, true AS ranked
+FROM tx JOIN sp USING (TransactionID) WHERE split = 'val'""",
+)
+def baseline_metrics_query(spark, folder):
+    frame = _frame(spark, folder)
+    found = baseline_metrics(score_baseline(fit_baseline(_part(frame, "train")), _part(frame, "val")))
+    return found.select(
+        "rows",
+        steady(F.col("positive_rate"), 6).alias("positive_rate"),
+        (F.col("pr_auc") > 0).alias("ranked"),
+    )
+
+
+@query("k03_boosted_trees", "K3 D7")
+def boosted_trees(spark, folder):
+    frame = _frame(spark, folder)
+    model = fit_trees(_part(frame, "train"), _part(frame, "val"), _INPUTS, **_SMALL)
+    return model.score(_part(frame, "test")).select(ID, LABEL, "raw_score")
+
+
+@query("k04_random_search", "K4 K3")
+def random_search_query(spark, folder):
+    frame = _frame(spark, folder)
+    settings = [{"maxDepth": 2}, {"maxDepth": 3}]
+    _, history = random_search(
+        _part(frame, "train"), _part(frame, "val"), _INPUTS, settings=settings, max_iter=3, stepSize=0.2
+    )
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(h["maxDepth"]).alias("max_depth"),
+                F.lit(h["trees"]).alias("trees"),
+                F.lit(h["val_pr_auc"]).alias("val_pr_auc"),
+            )
+            for h in history
+        ]
+    )
+    return frame.limit(1).select(F.inline(rows))
+
+
+@query("k08_calibrator_choice", "K8 K5 K6 K7")
+def calibrator_choice(spark, folder):
+    rows = materialize(scored(spark, folder, "orders"), "scores")
+    return choose_method(fold_losses(rows, "score"))
+
+
+for _method in METHODS:
+
+    @query(
+        f"k0{5 if _method == 'platt' else 6}_{_method}_probabilities",
+        "K5" if _method == "platt" else "K6",
+    )
+    def calibrated(spark, folder, method=_method):
+        rows = scored(spark, folder, "orders")
+        out = fit_calibrator(rows, "score", method).apply(rows, "score", "calibrated")
+        return out.select(ID, LABEL, "score", "calibrated")
+
+
+@query("k09_training_metrics", "K9 K3 K8 D10 D12 D22 D23")
+def training_metrics(spark, folder):
+    inputs = TreeInputs((*BASELINE_COLUMNS, "signal"), (PRODUCT,))
+    found = train(
+        _frame(spark, folder), inputs, settings=[{}], folds=2, max_iter=8, maxDepth=4, stepSize=0.2
+    )
+    return found.metrics
+
+
+@query(
+    "k10_batch_scoring",
+    "K10 M10 A15 B12 B14",
+    f"""{splits_cte('orders')}
+SELECT TransactionID, 'r1' AS run, 'm1' AS model_run, true AS decided, 'v1' AS code_version
+FROM sp WHERE split = 'test'""",
+)
+def batch_scoring(spark, folder):
+    frame = _frame(spark, folder)
+    inputs = TreeInputs((*BASELINE_COLUMNS, "D3n"), (PRODUCT,))
+    derivations = [Derivation("D3n", "days_since_to_start_day", ("D3",))]
+    from timeward.functions.derive import apply_derivations
+
+    ready = apply_derivations(frame, derivations)
+    model = fit_trees(_part(ready, "train"), _part(ready, "val"), inputs, **_SMALL)
+    val = materialize(model.score(_part(ready, "val")), "val-scores")
+    calibrator = fit_calibrator(val, "raw_score", "platt")
+    out = score_rows(_part(frame, "test"), model, calibrator, 0.25, derivations=derivations)
+    path = scratch_path(spark, "prediction-log")
+    log_predictions(out, path, run="r1", model_run="m1", threshold=0.25, code_version="v1")
+    decided = (F.col("action") == "block") == (F.col("calibrated_probability") > F.col("threshold"))
+    return read_log(spark, path).select(ID, "run", "model_run", decided.alias("decided"), "code_version")
+
+
+def _explained(spark, folder):
+    frame = _frame(spark, folder)
+    model = fit_baseline(_part(frame, "train"))
+    sample = _part(frame, "test").orderBy(seeded_hash(42, ID), ID).limit(5000)
+    return contributions(model, sample)
+
+
+@query(
+    "k11_contributions_add_up",
+    "K11 F6",
+    f"""{splits_cte('orders')}
+SELECT least(count(*), 5000) AS "rows", least(count(*), 5000) AS additive FROM sp WHERE split = 'test'""",
+)
+def contributions_add_up(spark, folder):
+    explained = _explained(spark, folder)
+    total = F.aggregate("parts", F.col("base"), lambda acc, p: acc + p["part"])
+    odds = F.log(F.col("y_score") / (1 - F.col("y_score")))
+    return explained.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.abs(total - odds) < 1e-6).alias("additive")
+    )
+
+
+@query("k11_global_attribution", "K11 D27 F1")
+def global_attribution_query(spark, folder):
+    return global_attribution(_explained(spark, folder))
+
+
+@query("k11_top_decisions", "K11 F2 F3")
+def top_decisions_query(spark, folder):
+    return top_decisions(_explained(spark, folder))
+
+
+@query("k12_seed_noise", "K12 D26")
+def seed_noise(spark, folder):
+    frame = _frame(spark, folder)
+    runs = None
+    for seed in (1, 2, 3):
+        model = fit_trees(
+            _part(frame, "train"), _part(frame, "val"), _INPUTS,
+            seed=seed, subsamplingRate=0.7, **{**_SMALL, "max_iter": 3},
+        )
+        found = ranking_metrics(model.score(_part(frame, "test")), "raw_score").select(
+            "pr_auc", "roc_auc"
+        )
+        runs = found if runs is None else runs.unionByName(found)
+    return noise_summary(runs, ["pr_auc", "roc_auc"])
