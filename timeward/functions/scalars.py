@@ -30,15 +30,15 @@ def client_key(
 
 
 def missing_count(columns: Sequence[str]) -> Column:
-    """How many of the columns are NULL.
+    """How many of the columns, all of one type, are NULL.
 
-    An array and a filter instead of a long sum: a few hundred nested additions overflow the
-    planner's stack.
+    An array that drops its NULLs instead of a long sum: a few hundred nested additions overflow
+    the planner's stack, and this form was measured fastest.
     """
     if not columns:
         return F.lit(0)
-    flags = F.array(*[F.col(c).isNull() for c in columns])
-    return F.size(F.filter(flags, lambda missing: missing))
+    present = F.array_compact(F.array(*[F.col(c) for c in columns]))
+    return F.lit(len(columns)) - F.size(present)
 
 
 def boolean_from_text(column: str) -> Column:

@@ -29,38 +29,47 @@ from timeward.operators.assemble import AssemblyError, assemble_model_input
 from timeward.operators.history import SLICE_ABOVE, Measure, add_history, find_hot
 
 
-def client_aggregate_measures(
+def client_aggregate_names(
     derivations: Sequence[Derivation] = (),
     c_columns: Sequence[str] = (),
     m_columns: Sequence[str] = (),
-) -> list[Measure]:
-    """Spread of the declared start days and means of the C and M columns over earlier rows.
-
-    The same list gives the names and the expressions, so neither can run ahead of the other.
-    """
-    out = []
+) -> list[str]:
+    """Spreads of start days, then means of C columns, then means of M columns."""
     for d in derivations:
         if d.tool != "days_since_to_start_day":
             raise AssemblyError(f"{d.name}: {d.tool} has no spread over an entity's history")
-        value = start_day(
-            d.inputs[0],
-            str(d.params.get("time_column", TIME)),
-            int(d.params.get("unit_seconds", DAY_SECONDS)),
-        )
-        out.append(Measure(f"client_{d.name.lower()}_std_prior", "std", None, value))
-    for c in c_columns:
-        out.append(Measure(f"client_{c.lower()}_mean_prior", "avg", None, F.col(c)))
-    for m in m_columns:
-        out.append(Measure(f"client_{m.lower()}_mean_prior", "avg", None, F.col(m).cast("bigint")))
-    return out
+    return [
+        *[f"client_{d.name.lower()}_std_prior" for d in derivations],
+        *[f"client_{c.lower()}_mean_prior" for c in (*c_columns, *m_columns)],
+    ]
 
 
-def client_aggregate_names(
+def client_aggregate_measures(
     derivations: Sequence[Derivation] = (),
     c_columns: Sequence[str] = (),
     m_columns: Sequence[str] = (),
-) -> list[str]:
-    return [m.name for m in client_aggregate_measures(derivations, c_columns, m_columns)]
+) -> list[Measure]:
+    """One measure per name of :func:`client_aggregate_names`, over all earlier rows."""
+    expressions = [
+        *[
+            (
+                "std",
+                start_day(
+                    d.inputs[0],
+                    str(d.params.get("time_column", TIME)),
+                    int(d.params.get("unit_seconds", DAY_SECONDS)),
+                ),
+            )
+            for d in derivations
+        ],
+        *[("avg", F.col(c)) for c in c_columns],
+        *[("avg", F.col(m).cast("bigint")) for m in m_columns],
+    ]
+    names = client_aggregate_names(derivations, c_columns, m_columns)
+    return [
+        Measure(name, kind, None, value)
+        for name, (kind, value) in zip(names, expressions, strict=True)
+    ]
 
 
 def card_measures(hour: int = HOUR_SECONDS, day: int = DAY_SECONDS) -> list[Measure]:
