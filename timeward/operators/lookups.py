@@ -1,8 +1,9 @@
 """Joins of a row table against a table that is unique on its key.
 
-None of them forces a broadcast: Spark broadcasts the key side when its measured size is below
+Spark broadcasts the key side when its measured size is below
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, with AQE splitting hot keys of
-the row side.
+the row side. :func:`small_side` asks for a broadcast up front, but only for a counted side: it
+saves shuffling wide rows before the small side's size is known.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from timeward.names import ID
 
 _NULL_LANES = 64
+# Rows of (key, value) a broadcast may hold; a few tens of megabytes.
+BROADCAST_ROWS = 500_000
 
 
 def _left_probe(rows: DataFrame, side: DataFrame, probe: Column, key: str) -> DataFrame:
@@ -30,6 +33,11 @@ def _left_probe(rows: DataFrame, side: DataFrame, probe: Column, key: str) -> Da
     return rows.join(side, (probe == F.col(key)) & (lane == F.col("_lane")), "left").drop("_lane")
 
 
+def small_side(side: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``side``, marked for broadcast if counting shows that it holds at most ``most`` rows."""
+    return F.broadcast(side) if side.limit(most + 1).count() <= most else side
+
+
 def left_attach(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
     """Every row, plus the columns of its 0..1 match on ``side``."""
     return rows.join(side, key, "left")
@@ -65,7 +73,7 @@ def with_lookup(
     rows: DataFrame, table: DataFrame, probe: Column, key: str, value: str, output: str
 ) -> DataFrame:
     """Adds ``output``: the table's ``value`` where its ``key`` equals ``probe``, else NULL."""
-    side = table.select(F.col(key).alias("_key"), F.col(value).alias(output))
+    side = small_side(table.select(F.col(key).alias("_key"), F.col(value).alias(output)))
     return _left_probe(rows, side, probe, "_key").drop("_key")
 
 
