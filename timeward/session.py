@@ -45,16 +45,13 @@ def shared_folder(spark: SparkSession) -> str:
 
     A temporary folder is used only where the cluster names none, as in local tests.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
