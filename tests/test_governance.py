@@ -19,7 +19,12 @@ from timeward.contract.tables import (
     summary,
     training_features,
 )
-from timeward.plans.audits import distribution_shift, segment_rejections, time_rejections
+from timeward.plans.audits import (
+    distribution_shift,
+    run_audits,
+    segment_rejections,
+    time_rejections,
+)
 from timeward.plans.gate import (
     GateError,
     GateLimits,
@@ -172,6 +177,27 @@ def test_segment_audit_only_reports_by_default(spark):
     assert {r["column"] for r in segment_rejections(found, reject=True, reject_unmeasurable=True).collect()} == {"a", "b"}
 
 
+def test_audits_follow_the_policy(spark):
+    noise = lambda seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1000)).cast("double")
+    late = F.col("id") > 1000
+    label = (noise(1) > 500).cast("int")
+    rows = spark.range(2000).select(
+        F.col("id").alias("TransactionID"), F.col("id").alias("TransactionDT"), label.alias("isFraud"),
+        F.lit("W").alias("ProductCD"),
+        (noise(2) + F.when(late, -300).otherwise(300) * label).alias("turns"),
+        noise(3).alias("mate"),
+        (noise(4) + F.when(late, 5000).otherwise(0)).alias("moves"),
+        noise(5).alias("same"), (noise(5) * 2).alias("copy"),
+    )
+    columns = ["turns", "mate", "moves", "same", "copy"]
+    groups = {"f": ["turns", "mate"], "g": ["same", "copy"]}
+    got = {(r["check"], r["column"], r["unit"]) for r in run_audits(rows, columns, Policy(), groups=groups).collect()}
+    assert {("time_consistency", "turns", "block:f"), ("time_consistency", "mate", "block:f"),
+            ("distribution_shift", "moves", "column"), ("redundancy", "same", "column")} <= got
+    off = Policy(disabled=frozenset({"time_consistency", "distribution_shift", "redundancy"}), segment_enabled=False)
+    assert run_audits(rows, columns, off).count() == 0
+
+
 GOOD = {"test_pr_auc": 0.52, "test_pr_auc_unseen": 0.53, "test_expected_calibration_error": 0.0077, "test_threshold_false_positive_rate": 0.0117}
 
 

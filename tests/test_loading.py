@@ -81,12 +81,13 @@ def test_header(spark, tmp_path):
 
 def test_validation(spark):
     good = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, None)], "TransactionID long, isFraud double")
-    assert require_valid(validation_scan(good, ["TransactionID"], "isFraud")) == 3
+    assert require_valid(good, ["TransactionID"], "isFraud") == 3
     with pytest.raises(LoadError, match="absent: TransactionAmt"):
-        require_valid(validation_scan(good, ["TransactionAmt"], "isFraud"))
-    bad = spark.createDataFrame([(1, "2"), (2, "1")], "TransactionID long, isFraud string")
-    with pytest.raises(LoadError, match="labels other than 0 and 1: 2"):
-        require_valid(validation_scan(bad, ["TransactionID"], "isFraud"))
+        require_valid(good, ["TransactionAmt"], "isFraud")
+    bad = spark.createDataFrame([(1, "2"), (2, "1"), (3, "x"), (4, "2")], "TransactionID long, isFraud string")
+    assert validation_scan(bad, [], "isFraud").first()["invalid_labels"] == 3
+    with pytest.raises(LoadError, match=r"3 label\(s\) other than 0 and 1, e.g. 2, x"):
+        require_valid(bad, ["TransactionID"], "isFraud")
 
 
 def test_schema_match(spark):

@@ -12,9 +12,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from timeward.contract.tables import REJECTIONS
 from timeward.names import ID, LABEL, PRODUCT, TIME
 from timeward.operators.metrics import ranking_metrics
 from timeward.operators.ordered import exact_quantiles
+from timeward.policy import Policy
 
 _FLOOR = 1e-6
 PSI_BINS = 10
@@ -285,6 +287,65 @@ def segment_rejections(
     )
 
 
+def run_audits(
+    rows: DataFrame,
+    columns: Sequence[str],
+    policy: Policy,
+    *,
+    groups: Mapping[str, Sequence[str]] | None = None,
+    label: str = LABEL,
+) -> DataFrame:
+    """The rejections of every audit the policy enables, in order of precedence.
+
+    ``groups`` are families of columns that carry one signal, from a partition file or from
+    :func:`missing_families`; without them there is nothing to call redundant and no family to
+    reject as a whole.
+    """
+    windows = {"train": policy.train_window, "holdout": policy.holdout_window}
+    found = []
+    if policy.enabled("time_consistency"):
+        families = None
+        if policy.reject_by_block and groups:
+            pairs = [(c, g) for g, members in groups.items() for c in members]
+            families = rows.sparkSession.createDataFrame(pairs, "column string, family string")
+        result = time_consistency(rows, columns, label=label, **windows)
+        found.append(time_rejections(result, families=families))
+        if families is not None:
+            lone = result.join(families, "column", "left_anti")
+            found.append(time_rejections(lone))
+    if policy.enabled("distribution_shift"):
+        result = distribution_shift(rows, columns, **windows)
+        found.append(
+            shift_rejections(
+                result, threshold=policy.psi_threshold, reject_degenerate=policy.reject_degenerate
+            )
+        )
+    if policy.enabled("redundancy") and groups:
+        found.append(redundancy_rejections(redundancy(rows, groups)))
+    if policy.segment_enabled:
+        result = segment_qualification(
+            rows,
+            columns,
+            segment=policy.segment_column,
+            floor=policy.segment_pooled_floor,
+            max_drop=policy.segment_max_drop,
+            label=label,
+        )
+        found.append(
+            segment_rejections(
+                result,
+                reject=policy.segment_reject,
+                reject_unmeasurable=policy.segment_reject_unmeasurable,
+            )
+        )
+    if not found:
+        return rows.sparkSession.createDataFrame([], REJECTIONS)
+    out = found[0]
+    for other in found[1:]:
+        out = out.unionByName(other)
+    return out
+
+
 def to_fragments(rejections: DataFrame, order: Sequence[str]) -> DataFrame:
     """One row per check with its rejections nested, ready to be written as JSON.
 

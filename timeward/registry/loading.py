@@ -21,6 +21,7 @@ from timeward.sources.pinned import (
     cast_back,
     fractional_counts,
     integer_columns,
+    invalid_labels,
     load_inferred,
     load_pinned,
     load_typed,
@@ -64,25 +65,38 @@ _LINE_PINS = [
 _LINE_COLUMNS = [p.name for p in _LINE_PINS]
 
 
+def _labelled_csv(spark, folder):
+    path = scratch_path(spark, "scan")
+    rows = transactions(spark, folder).select(ID, F.col("D5").alias(LABEL))
+    rows.write.option("header", True).csv(path)
+    return spark.read.csv(path, header=True)
+
+
 @query(
     "a01_validation_scan",
     "A1",
     f"""{tx_sql()}
-SELECT count(*) AS "rows", (SELECT string_agg(d, ',' ORDER BY d) FROM (SELECT DISTINCT CAST(D5 AS VARCHAR) AS d FROM tx
-  WHERE D5 NOT IN (0, 1))) AS invalid_labels, 'gone' AS missing_columns FROM tx""",
+SELECT count(*) AS "rows", count(*) FILTER (D5 NOT IN (0, 1)) AS invalid_labels, 'gone' AS missing_columns FROM tx""",
 )
 def validation_scan_query(spark, folder):
-    rows = transactions(spark, folder).select(ID, F.col("D5").alias(LABEL))
-    path = scratch_path(spark, "scan")
-    rows.write.option("header", True).csv(path)
-    return validation_scan(spark.read.csv(path, header=True), [ID, LABEL, "gone"], LABEL)
+    return validation_scan(_labelled_csv(spark, folder), [ID, LABEL, "gone"], LABEL)
+
+
+@query(
+    "a01_invalid_labels",
+    "A1",
+    f"""{tx_sql()}
+SELECT CAST(D5 AS VARCHAR) AS label, count(*) AS "rows" FROM tx WHERE D5 NOT IN (0, 1) GROUP BY D5""",
+)
+def invalid_labels_query(spark, folder):
+    return invalid_labels(_labelled_csv(spark, folder), LABEL)
 
 
 @query(
     "a02_identity_scan",
     "A2",
     f"""{tx_sql()}
-SELECT count(*) AS "rows", '' AS invalid_labels, '' AS missing_columns FROM tx""",
+SELECT count(*) AS "rows", 0 AS invalid_labels, '' AS missing_columns FROM tx""",
 )
 def identity_scan(spark, folder):
     path = scratch_path(spark, "identity-scan")

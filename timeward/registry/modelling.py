@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from timeward.functions.derive import Derivation
 from timeward.names import AMOUNT, CARD_SEEN, ID, LABEL, PRODUCT, SPLIT
-from timeward.operators.calibration import METHODS, choose_method, fit_calibrator, fold_losses
+from timeward.operators.calibration import choose_method, fit_calibrator, fold_losses
 from timeward.operators.metrics import noise_summary, ranking_metrics
 from timeward.operators.ordered import seeded_hash
 from timeward.operators.splits import split_table
@@ -29,12 +29,13 @@ from timeward.plans.models import (
 from timeward.plans.scoring import log_predictions, score_rows
 from timeward.plans.training import train
 from timeward.registry import query, steady, steady_sql
-from timeward.registry.adapters import scored, transactions
+from timeward.registry.adapters import scored, scored_sql, transactions
 from timeward.registry.history import transaction_features
 from timeward.registry.splitting import splits_cte
 from timeward.session import materialize, scratch_path
 from timeward.sources.sinks import read_log
 
+P = "probability"
 _INPUTS = TreeInputs(tuple(BASELINE_COLUMNS), (PRODUCT,))
 _SMALL = {"max_iter": 4, "maxDepth": 3, "stepSize": 0.2}
 
@@ -86,11 +87,17 @@ def baseline_metrics_query(spark, folder):
     )
 
 
-@query("k03_boosted_trees", "K3 D7")
+@query(
+    "k03_boosted_trees",
+    "K3 D7",
+    f"""{splits_cte('orders')}
+SELECT TransactionID, isFraud, true AS is_probability FROM tx JOIN sp USING (TransactionID) WHERE split = 'test'""",
+)
 def boosted_trees(spark, folder):
     frame = _frame(spark, folder)
     model = fit_trees(_part(frame, "train"), _part(frame, "val"), _INPUTS, **_SMALL)
-    return model.score(_part(frame, "test")).select(ID, LABEL, "raw_score")
+    scores = model.score(_part(frame, "test"))
+    return scores.select(ID, LABEL, F.col("raw_score").between(0.0, 1.0).alias("is_probability"))
 
 
 @query("k04_random_search", "K4 K3")
@@ -119,16 +126,44 @@ def calibrator_choice(spark, folder):
     return choose_method(fold_losses(rows, "score"))
 
 
-for _method in METHODS:
+# The best non-decreasing fit at x is the largest, over starts a <= x, of the smallest mean of any
+# run from a to an end b >= x.
+_ISOTONIC_SQL = f"""{scored_sql('orders')},
+g AS (SELECT score, count(*) AS w, sum(isFraud) AS y, row_number() OVER (ORDER BY score) AS i FROM sc GROUP BY score),
+c AS (SELECT i, score, sum(w) OVER o AS cw, sum(y) OVER o AS cy, w, y FROM g WINDOW o AS (ORDER BY i)),
+runs AS (SELECT a.i AS a, b.i AS b, (b.cy - a.cy + a.y)::DOUBLE / (b.cw - a.cw + a.w) AS mean FROM c a JOIN c b ON b.i >= a.i),
+low AS (SELECT a, b, min(mean) OVER (PARTITION BY a ORDER BY b DESC) AS least FROM runs),
+fit AS (SELECT b AS i, max(least) AS q FROM low GROUP BY b)
+SELECT sc.TransactionID, sc.score, {steady_sql('q', 6)} AS calibrated FROM sc JOIN g ON sc.score = g.score JOIN fit ON fit.i = g.i"""
+
+
+@query("k06_isotonic_probabilities", "K6", _ISOTONIC_SQL)
+def isotonic_probabilities(spark, folder):
+    rows = scored(spark, folder, "orders")
+    out = fit_calibrator(rows, "score", "isotonic").apply(rows, "score", "calibrated")
+    return out.select(ID, "score", steady(F.col("calibrated"), 6).alias("calibrated"))
 
-    @query(
-        f"k0{5 if _method == 'platt' else 6}_{_method}_probabilities",
-        "K5" if _method == "platt" else "K6",
+
+@query("k05_platt_probabilities", "K5")
+def platt_probabilities(spark, folder):
+    rows = scored(spark, folder, "orders")
+    out = fit_calibrator(rows, "score", "platt").apply(rows, "score", "calibrated")
+    return out.select(ID, LABEL, "score", "calibrated")
+
+
+@query(
+    "k05_platt_keeps_the_base_rate",
+    "K5",
+    f"""{scored_sql('orders')}
+SELECT count(*) AS "rows", {steady_sql('avg(isFraud)', 3)} AS mean_probability FROM sc""",
+)
+def platt_keeps_the_base_rate(spark, folder):
+    """The intercept is not penalised, so the mean probability equals the positive rate."""
+    rows = scored(spark, folder, "orders")
+    out = fit_calibrator(rows, P, "platt").apply(rows, P, "calibrated")
+    return out.agg(
+        F.count(F.lit(1)).alias("rows"), steady(F.avg("calibrated"), 3).alias("mean_probability")
     )
-    def calibrated(spark, folder, method=_method):
-        rows = scored(spark, folder, "orders")
-        out = fit_calibrator(rows, "score", method).apply(rows, "score", "calibrated")
-        return out.select(ID, LABEL, "score", "calibrated")
 
 
 @query("k09_training_metrics", "K9 K3 K8 D10 D12 D22 D23")

@@ -11,7 +11,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,28 +182,42 @@ def require_header(spark: SparkSession, path: str, pins: Sequence[Pin]) -> None:
         raise LoadError(f"{path}: {'; '.join(wrong)}")
 
 
+def _is_invalid(label: str) -> Column:
+    value = F.col(label).try_cast("double")
+    return F.col(label).isNotNull() & ~F.coalesce(value.isin(0.0, 1.0), F.lit(False))
+
+
 def validation_scan(
     rows: DataFrame, required: Sequence[str], label: str | None = None
 ) -> DataFrame:
-    """One row: the row count, required columns that are absent, labels that are not 0 or 1."""
+    """One row: the row count, rows whose label is neither 0 nor 1, required columns absent."""
     absent = ",".join(sorted(c for c in required if c not in rows.columns))
-    wrong = F.lit("")
+    wrong = F.lit(0).cast("bigint")
     if label is not None and label in rows.columns:
-        value = F.col(label).cast("double")
-        odd = F.when(value.isNotNull() & ~value.isin(0.0, 1.0), F.col(label).cast("string"))
-        wrong = F.array_join(F.array_sort(F.collect_set(odd)), ",")
+        wrong = F.count_if(_is_invalid(label))
     return rows.agg(F.count(F.lit(1)).alias("rows"), wrong.alias("invalid_labels")).withColumn(
         "missing_columns", F.lit(absent)
     )
 
 
-def require_valid(scan: DataFrame) -> int:
+def invalid_labels(rows: DataFrame, label: str) -> DataFrame:
+    """(label, rows) for every value other than 0 and 1."""
+    return (
+        rows.where(_is_invalid(label))
+        .groupBy(F.col(label).cast("string").alias("label"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+def require_valid(rows: DataFrame, required: Sequence[str], label: str | None = None) -> int:
     """The row count, or an error when a column is absent or a label is invalid."""
-    found = scan.first()
+    found = validation_scan(rows, required, label).first()
     if found["missing_columns"]:
         raise LoadError(f"required column(s) absent: {found['missing_columns']}")
     if found["invalid_labels"]:
-        raise LoadError(f"labels other than 0 and 1: {found['invalid_labels']}")
+        # A few of them for the message.
+        shown = [r["label"] for r in invalid_labels(rows, label).orderBy("label").limit(5).collect()]
+        raise LoadError(f"{found['invalid_labels']} label(s) other than 0 and 1, e.g. {', '.join(shown)}")
     return found["rows"]
 
 
@@ -216,9 +230,11 @@ def source_fingerprint(spark: SparkSession, path: str) -> str:
     Only the listing is read, not the contents.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    tagged = F.sha2(F.concat_ws("|", "path", "length", F.col("modificationTime").cast("string")), 256)
-    joined = F.array_join(F.sort_array(F.collect_list(tagged)), ",")
-    return files.agg(F.substring(F.sha2(joined, 256), 1, 63).alias("f")).first()["f"]
+    # An order-free sum, so that any number of files is combined map-side.
+    tagged = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    found = files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.sum(tagged).alias("tag"))
+    text = F.concat_ws("|", "files", "bytes", "tag")
+    return found.select(F.substring(F.sha2(text, 256), 1, 63).alias("f")).first()["f"]
 
 
 def schema_matches(schema: T.StructType, pins: Sequence[Pin]) -> bool:
