@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from timeward.functions.scalars import clipped
-from timeward.names import AMOUNT, ID, LABEL, PRODUCT
+from timeward.names import AMOUNT, ID, PRODUCT
 from timeward.operators.metrics import (
     budget_threshold_row,
     calibration_error,
@@ -228,7 +227,6 @@ def budget_choice_evaluated(spark, folder):
 
 _GRID = """grid AS (SELECT DISTINCT unnest(quantile_cont(probability,
   list_transform(range(200), lambda i: i / 199.0::DOUBLE))) AS threshold FROM sc)"""
-_GRID_ROUNDED = _GRID
 
 
 @query(
@@ -241,9 +239,6 @@ def quantile_grid(spark, folder):
     return _steady(cost_grid(scored(spark, folder, "orders"), P), "threshold").distinct()
 
 
-_TEN = """grid AS (SELECT DISTINCT unnest(quantile_disc(probability, [0.1,0.3,0.5,0.7,0.9])) AS threshold FROM sc)"""
-
-
 @query(
     "d12_cheapest_threshold",
     "D12 C12 F4",

@@ -34,7 +34,7 @@ from timeward.contract.tables import (
 )
 from timeward.functions.derive import Derivation, apply_derivations, frequency_map
 from timeward.functions.scalars import short_digest
-from timeward.names import AMOUNT, ID, LABEL, NOT_FEATURES, PRODUCT, TIME
+from timeward.names import AMOUNT, ID, LABEL, PRODUCT, TIME
 from timeward.operators.metrics import (
     budget_threshold_row,
     calibration_error,
@@ -51,9 +51,7 @@ from timeward.plans.audits import (
     distinct_values,
     missing_families,
     redundancy,
-    redundancy_rejections,
     segment_qualification,
-    segment_rejections,
     shift_rejections,
     time_consistency,
     time_rejections,
@@ -70,7 +68,6 @@ from timeward.plans.gate import (
 from timeward.policy import Blacklisted, Override, Policy
 from timeward.registry import query, steady, steady_sql
 from timeward.registry.adapters import (
-    SCORED_COLUMNS,
     scored,
     scored_sql,
     table,

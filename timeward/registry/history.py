@@ -12,7 +12,6 @@ from timeward.names import (
     CLIENT,
     DAY_SECONDS,
     DEVICE,
-    FEATURES,
     HOUR_SECONDS,
     ID,
     M_COLUMNS,

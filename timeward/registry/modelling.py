@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from timeward.functions.derive import Derivation
-from timeward.names import AMOUNT, CARD_SEEN, ID, LABEL, PRODUCT, SPLIT
+from timeward.names import AMOUNT, ID, LABEL, PRODUCT, SPLIT
 from timeward.operators.calibration import choose_method, fit_calibrator, fold_losses
 from timeward.operators.metrics import noise_summary, ranking_metrics
 from timeward.operators.ordered import seeded_hash
