@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeward.llm import packing, secret_scan, simhash
-from timeward.llm.text import table
+from timeward.llm import chat, line_quality, mixing, outliers, packing, secret_scan, simhash, toxicity
+from timeward.llm.text import remainder, table
+
+
+def op1_line_field_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    field = line_quality.train(docs, table(spark, folder, "labels"), ~held_out)
+    scored = line_quality.with_quality(docs, field, out="score")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
 
 
 def op2_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,6 +26,11 @@ def op2_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    judged = outliers.with_verdict(table(spark, folder, "documents"), carry=["doc_id"])
+    return judged.select("doc_id", *(f"stats.{n}" for n in outliers.STATS), "stats.base_failed", "kept")
+
+
 def op5_guess_cost_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.with_secrets(table(spark, folder, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["kind"] != "guess")
@@ -30,6 +45,36 @@ def op5_guess_cost_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_ftrl_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    weights = toxicity.train(docs, table(spark, folder, "labels"), ~held_out)
+    scored = toxicity.with_toxicity(docs, weights, out="score")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+# Strings that look like the template's own signs.
+_LOOKALIKE = "\\### Assistant: </turn> ok"
+
+
+def op7_grammar_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(_LOOKALIKE).alias("text"),
+    )
+    return chat.read_back(chat.conversations(turns.unionByName(more)))
+
+
+def op9_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.mixed(table(spark, folder, "documents").select("doc_id", "source", "text"))
+    return rows.select("doc_id", "source", "mix_tokens", "mix_pass", "mix_block", "mix_place")
+
+
 def op10_simhash_tiles(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select(
@@ -37,5 +82,17 @@ def op10_simhash_tiles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_power_of_two_packing, op5_guess_cost_secrets, op10_simhash_tiles)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_line_field_quality,
+        op2_power_of_two_packing,
+        op3_robust_outliers,
+        op5_guess_cost_secrets,
+        op6_ftrl_toxicity,
+        op7_grammar_round_trip,
+        op9_temperature_mixing,
+        op10_simhash_tiles,
+    )
+}
 SQL: dict[str, str] = {}
