@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeward.llm import chat, line_quality, mixing, outliers, packing, secret_scan, simhash, toxicity
+from timeward.llm import chat, line_quality, mixing, outliers, packing, permutation_index, secret_scan, simhash, toxicity, url_filter
 from timeward.llm.text import remainder, table
 
 
@@ -31,6 +31,11 @@ def op3_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *(f"stats.{n}" for n in outliers.STATS), "stats.base_failed", "kept")
 
 
+def op4_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    index = permutation_index.build(permutation_index.usable(table(spark, folder, "embeddings")))
+    return permutation_index.search(index, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op5_guess_cost_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.with_secrets(table(spark, folder, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["kind"] != "guess")
@@ -70,6 +75,21 @@ def op7_grammar_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.conversations(turns.unionByName(more)))
 
 
+# The rules.
+RULES = [
+    url_filter.Rule("block", "net/"),
+    url_filter.Rule("allow", "example.net/en/"),
+    url_filter.Rule("block", "example.com/de/"),
+    url_filter.Rule("allow", "org/fr/"),
+]
+
+
+def op8_boosted_url_trees(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    trees = url_filter.train(url_filter.rule_labels(pages, RULES))
+    return url_filter.judged(pages, RULES, trees).select("page_id", "judged.*")
+
+
 def op9_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.mixed(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return rows.select("doc_id", "source", "mix_tokens", "mix_pass", "mix_block", "mix_place")
@@ -88,9 +108,11 @@ QUERIES = {
         op1_line_field_quality,
         op2_power_of_two_packing,
         op3_robust_outliers,
+        op4_permutation_index,
         op5_guess_cost_secrets,
         op6_ftrl_toxicity,
         op7_grammar_round_trip,
+        op8_boosted_url_trees,
         op9_temperature_mixing,
         op10_simhash_tiles,
     )
