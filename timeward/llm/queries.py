@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeward.llm import chat, line_quality, mixing, outliers, packing, permutation_index, secret_scan, simhash, toxicity, url_filter
+from timeward.llm import chat, line_quality, mixing, outliers, packing, permutation_index, secret_scan, simhash, sql, toxicity, url_filter
 from timeward.llm.text import remainder, table
 
 
@@ -117,4 +117,8 @@ QUERIES = {
         op10_simhash_tiles,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_robust_outliers": sql.outliers_sql(),
+    "op7_grammar_round_trip": sql.chat_sql(_LOOKALIKE),
+    "op9_temperature_mixing": sql.mixing_sql(mixing.Mix()),
+}
