@@ -9,7 +9,8 @@ from timeward.contract.tables import (
     REJECTIONS,
     blacklist_rejections,
     build_contract,
-    declare_columns,
+    declared_columns,
+    schema_rows,
     freshness,
     map_digest,
     override_rows,
@@ -34,14 +35,14 @@ from timeward.plans.gate import (
     require_promoted,
     verdict,
 )
-from timeward.policy import Blacklisted, Override, Policy, PolicyError, policy_from
+from timeward.policy import ADMIT, REJECT, Policy, PolicyError, Ruling, policy_from
 
 FAR = date(2999, 1, 1)
 
 
 def declared(spark):
     schema = spark.createDataFrame([], "TransactionID long, V1 double, V2 double, ProductCD string, card_txn_count_1h long, D1n double").schema
-    return declare_columns(spark, schema, derived=["D1n"])
+    return declared_columns(schema_rows(spark, schema), derived=["D1n"])
 
 
 def rejections(spark, *rows):
@@ -57,7 +58,7 @@ def test_declaration(spark):
 
 
 def test_first_rejection_counts_and_override_keeps_the_objection(spark):
-    policy = Policy(overrides=(Override("V2", "needed", FAR),), blacklist=(Blacklisted("V1", "policy"),))
+    policy = Policy(rulings=(Ruling("V2", ADMIT, "needed", FAR), Ruling("V1", REJECT, "policy")))
     found = rejections(spark, (1, "late", "t", "V1", 0.9, "column"), (0, "early", "t", "V1", 0.1, "block:a"), (1, "late", "t", "V2", 0.7, "column"))
     both = found.unionByName(blacklist_rejections(spark, policy))
     rows = {r["column"]: r for r in build_contract(declared(spark), both, override_rows(spark, policy)).collect()}
@@ -71,7 +72,7 @@ def test_undeclared_names_raise(spark):
     with pytest.raises(ContractError, match="V9"):
         build_contract(declared(spark), rejections(spark, (0, "c", "t", "V9", None, "column")), none)
     with pytest.raises(ContractError, match="V9"):
-        build_contract(declared(spark), rejections(spark), override_rows(spark, Policy(overrides=(Override("V9", "x", FAR),))))
+        build_contract(declared(spark), rejections(spark), override_rows(spark, Policy(rulings=(Ruling("V9", ADMIT, "x", FAR),))))
 
 
 def contract(spark):
@@ -86,7 +87,7 @@ def test_document_round_trip_and_tampering(spark):
     assert document["summary"] == summary(built).first().asDict()
     assert training_features(from_document(spark, document)) == ["V2", "ProductCD", "card_txn_count_1h", "D1n"]
     assert to_document(built, Policy(psi_threshold=0.3))["fingerprint"] != document["fingerprint"]
-    assert to_document(built, Policy(), fitted_parameters={"m": 1})["fingerprint"] != document["fingerprint"]
+    assert to_document(built, Policy(), maps=spark.createDataFrame([("a", "x", 5)], "column string, value string, count long"))["fingerprint"] != document["fingerprint"]
     document["columns"][0]["admitted"] = True
     with pytest.raises(ContractError):
         from_document(spark, document)
@@ -99,7 +100,7 @@ def test_model_problems_come_together(spark):
     with pytest.raises(ContractError) as error:
         require_model_matches(built, names("V1", "V2", "ProductCD", "zz"), fingerprint="a", expected="b")
     text = str(error.value)
-    assert "V1: used but not admitted c" in text and "zz: used but not admitted not declared" in text
+    assert "V1: in the model, not in the contract c" in text and "zz: in the model, not in the contract not declared" in text
     assert "D1n: admitted but unused" in text and "fingerprint" in text
 
 
@@ -112,7 +113,7 @@ def test_fragments(spark, tmp_path):
     write(tmp_path, "b.json", '{"check": "y", "tool": "t", "rejections": [{"column": "V1", "value": null}]}')
     got = {(r["precedence"], r["column"], r["value"], r["unit"]) for r in rejections_of(read_fragments(spark, str(tmp_path), ["y", "x"])).collect()}
     assert got == {(0, "V1", None, "column"), (1, "V1", None, "column"), (1, "V2", 0.5, "block:b")}
-    with pytest.raises(ContractError, match="no fragment for z"):
+    with pytest.raises(ContractError, match="audits without a result: .'z'"):
         read_fragments(spark, str(tmp_path), ["x", "z"])
     write(tmp_path, "c.json", '{"check": "z", "rejections": []}')
     with pytest.raises(ContractError, match="tool"):
@@ -136,9 +137,9 @@ def test_map_digest_ignores_order_and_sees_changes(spark):
 def test_policy_rules():
     assert Policy().validate().digest() == Policy().digest() != Policy(psi_threshold=0.1).digest()
     with pytest.raises(PolicyError, match="expired"):
-        Policy(overrides=(Override("V1", "x", date(2020, 1, 1)),)).validate(date(2026, 1, 1))
+        Policy(rulings=(Ruling("V1", ADMIT, "x", date(2020, 1, 1)),)).validate(date(2026, 1, 1))
     with pytest.raises(PolicyError, match="both"):
-        Policy(blacklist=(Blacklisted("V1", "x"),), overrides=(Override("V1", "y", FAR),)).validate()
+        Policy(rulings=(Ruling("V1", REJECT, "x"), Ruling("V1", ADMIT, "y", FAR))).validate()
     with pytest.raises(PolicyError, match="missing 'reason'"):
         policy_from({"blacklist": [{"column": "V1"}]})
     with pytest.raises(PolicyError, match="more than once"):

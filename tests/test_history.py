@@ -128,3 +128,11 @@ def test_measures_are_checked():
         Measure("x", "sum", 10)
     with pytest.raises(ValueError):
         Measure("x", "count", 0)
+
+
+def test_times_must_be_whole_seconds(spark):
+    rows = spark.createDataFrame([(1, 100.5, "a", 1.0), (2, 150.0, "a", 2.0)], "id long, t double, e string, v double")
+    with pytest.raises(ValueError, match="whole seconds"):
+        add_history(rows, "e", "t", measures())
+    with pytest.raises(ValueError, match="whole seconds"):
+        add_history(rows, "e", "t", measures(), hot=rows.select("e").distinct(), base=rows)

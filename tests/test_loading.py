@@ -116,3 +116,15 @@ def test_log_takes_new_columns(spark, tmp_path):
     append_log(spark.createDataFrame([(1, "a")], "id long, run string"), path)
     append_log(spark.createDataFrame([(2, "b", 0.5)], "id long, run string, score double"), path)
     assert {tuple(r) for r in read_log(spark, path).select("id", "run", "score").collect()} == {(1, "a", None), (2, "b", 0.5)}
+
+
+def test_every_file_of_a_folder_must_have_the_pinned_header(spark, tmp_path):
+    pins = [Pin("a", "INTEGER"), Pin("b", "STRING")]
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "1.csv").write_text('a,b\n1,x\n')
+    (folder / "2.csv").write_text('"a", "b"\n2,"y, z"\n')
+    require_header(spark, str(folder), pins)
+    (folder / "3.csv").write_text("b,a\nx,3\n")
+    with pytest.raises(LoadError, match="b is not a"):
+        require_header(spark, str(folder), pins)

@@ -55,3 +55,31 @@ def test_hash_rank_is_a_permutation_that_ignores_partitioning(spark):
         assert sorted(v for k, v in once.items() if k % 3 == c) == list(range(1, 1001))
     other = {r["id"]: r["rank"] for r in hash_rank(df, "id", 6, by=["c"]).collect()}
     assert other != once
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+@pytest.mark.parametrize("descending", [False, True])
+def test_both_routes_place_nan_last(spark, monkeypatch, by, descending):
+    rows = [("a", float(k % 90)) for k in range(300)] + [("b", 1e-6 * k) for k in range(200)] + [("a", float("nan")), ("b", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    shown = lambda: sorted(map(repr, running_totals(df, "x", {"n": F.count(F.lit(1))}, by=by, descending=descending).collect()))
+    whole = shown()
+    monkeypatch.setattr(ordered, "WHOLE_BELOW", 0)
+    assert shown() == whole
+
+
+def test_ranges_follow_the_records(spark, monkeypatch):
+    assert ordered.ranges_for(10**11) == 10**5
+    monkeypatch.setattr(ordered, "PER_RANGE", 10_000)
+    df = spark.range(1_000_000).select((F.col("id") * F.lit(0.5)).alias("x"))
+    edges = ordered.cut_points(df, "x")
+    sizes = [r["count"] for r in ordered.with_range(df, "x", edges).groupBy("_range").count().collect()]
+    assert len(sizes) == 100 and max(sizes) < 20_000
+
+
+def test_groups_on_other_scales_are_cut_alike(spark):
+    df = spark.range(40_000).select(
+        (F.col("id") % 2).alias("g"), F.when(F.col("id") % 2 == 0, F.col("id") * 1e-9).otherwise(F.col("id") * 1e6).alias("x")
+    )
+    sizes = [r["count"] for r in ordered.with_range_by(df, "x", ["g"]).groupBy("g", "_range").count().collect()]
+    assert len(sizes) >= 30 and max(sizes) < 2_500

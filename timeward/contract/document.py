@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from timeward.contract.tables import ContractError, summary
+from timeward.contract.tables import ContractError, fingerprint, map_lines, summary
 from timeward.policy import Policy
 
 _COLUMNS = (
@@ -19,53 +17,42 @@ _COLUMNS = (
 )
 
 
-def fingerprint(document: dict) -> str:
-    """Hash of what reaches the model: admitted columns, policy, derivations, fitted parameters.
-
-    The time stamp is not part of it, so regenerating an unchanged contract keeps it.
-    """
-    payload = {
-        "columns": [
-            (c["column"], c["source"], c["dtype"]) for c in document["columns"] if c["admitted"]
-        ],
-        "policy": document.get("policy", {}),
-    }
-    for block in ("derivations", "fitted_parameters"):
-        if document.get(block):
-            payload[block] = document[block]
-    text = json.dumps(payload, sort_keys=True, default=str)
-    return hashlib.sha256(text.encode()).hexdigest()[:16]
-
-
 def to_document(
     contract: DataFrame,
     policy: Policy,
     *,
     fragments: Sequence[dict] = (),
-    fitted_parameters: dict | None = None,
+    maps: DataFrame | None = None,
 ) -> dict:
-    """One entry per column comes to the driver, nothing per row."""
-    document = {
-        "version": policy.version,
+    """One entry per column, policy line and fitted map comes to the driver, nothing per row."""
+    rows = contract.orderBy("position").collect()
+    fitted = [r["line"] for r in map_lines(maps).orderBy("line").collect()] if maps is not None else []
+    return {
+        "columns": [r.asDict() for r in rows],
         "created_at": datetime.now(timezone.utc).isoformat(timespec="seconds"),
-        "policy": policy.as_dict(),
-        "derivations": [d.as_dict() for d in policy.derivations],
-        "fitted_parameters": fitted_parameters or {},
-        "summary": summary(contract).first().asDict(),
+        "fingerprint": fingerprint(contract, [*policy.lines(), *fitted]).first()["fingerprint"],
         "fragments": list(fragments),
-        "columns": [r.asDict() for r in contract.orderBy("position").collect()],
+        "maps": fitted,
+        "policy": policy.lines(),
+        "summary": summary(contract).first().asDict(),
+        "version": policy.version,
     }
-    document["fingerprint"] = fingerprint(document)
-    return document
 
 
 def from_document(spark: SparkSession, document: dict) -> DataFrame:
-    """The contract table; raises when the document was edited after it was stamped."""
-    stored = document.get("fingerprint")
-    if stored and stored != fingerprint(document):
-        raise ContractError(
-            f"fingerprint mismatch: stored {stored}, contents give {fingerprint(document)}"
-        )
+    """The contract table; raises if columns, policy or maps are not those that were stamped."""
+    contract = _table(spark, document)
+    if document.get("fingerprint") and not intact(spark, document):
+        raise ContractError(f"the document was edited after it got fingerprint {document['fingerprint']}")
+    return contract
+
+
+def intact(spark: SparkSession, document: dict) -> bool:
+    """Does the document still have the contents that its fingerprint was made from?"""
+    lines = [*document.get("policy", ()), *document.get("maps", ())]
+    return fingerprint(_table(spark, document), lines).first()["fingerprint"] == document.get("fingerprint")
+
+
+def _table(spark: SparkSession, document: dict) -> DataFrame:
     names = [c.split()[0] for c in _COLUMNS.split(", ")]
-    rows = [tuple(c[n] for n in names) for c in document["columns"]]
-    return spark.createDataFrame(rows, _COLUMNS)
+    return spark.createDataFrame([tuple(c[n] for n in names) for c in document["columns"]], _COLUMNS)

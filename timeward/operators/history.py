@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from timeward.names import DAY_SECONDS, ID
 
@@ -124,6 +125,9 @@ def add_history(
     ``share_missing_entity`` instead treats the missing value as one entity, which is what an
     unguarded SQL window does.
     """
+    # Frames end one second before the row and slices are cut at whole seconds.
+    if not isinstance(rows.schema[time].dataType, T.IntegralType):
+        raise ValueError(f"{time} must hold whole seconds, not {rows.schema[time].dataType.simpleString()}")
     same_entity = Column.eqNullSafe if share_missing_entity else Column.__eq__
     alone = F.lit(False) if share_missing_entity else F.col(entity).isNull()
     found: dict[str, Column] = {}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from timeward.names import ID
 
-_NULL_LANES = 64
+_NULL_LANES = 1 << 20
 # Rows of (key, value) a broadcast may hold; a few tens of megabytes.
 BROADCAST_ROWS = 500_000
 
@@ -25,7 +25,8 @@ def _left_probe(rows: DataFrame, side: DataFrame, probe: Column, key: str) -> Da
     many: it is 0 for every row that can match, and on the side it is 0 in a form the optimizer
     does not fold away.
     """
-    unique = [ID] if ID in rows.columns else rows.columns[:4]
+    plain = [c for c, kind in rows.dtypes if not kind.startswith(("map", "variant"))]
+    unique = [ID] if ID in rows.columns else plain
     lane = F.when(probe.isNull(), F.pmod(F.xxhash64(*unique), F.lit(_NULL_LANES))).otherwise(
         F.lit(0).cast("bigint")
     )

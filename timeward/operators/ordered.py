@@ -14,32 +14,80 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
 # Up to this many records, one sorted task beats ranges and a join.
 WHOLE_BELOW = 100_000
+# Records that one task sorts once the axis is cut.
+PER_RANGE = 1_000_000
+_LEAST_RANGES = 16
 # Hash digits that fit a signed 64-bit integer.
 _HASH_DIGITS = 15
 
 
-def cut_points(values: DataFrame, column: str, ranges: int = RANGES) -> list[float]:
-    """Range edges from approximate quantiles: at most ``ranges`` numbers on the driver.
+def ranges_for(records: int) -> int:
+    """As many ranges as leave about PER_RANGE records to each, so that tasks stay alike at any size."""
+    return max(_LEAST_RANGES, -(-records // PER_RANGE))
+
+
+def _more_than_one_task(values: DataFrame) -> int:
+    """The number of records, or 0 if they fit one task; looks no further than needed for that."""
+    return 0 if values.limit(WHOLE_BELOW + 1).count() <= WHOLE_BELOW else values.count()
+
+
+def cut_points(values: DataFrame, column: str, ranges: int | None = None) -> list[float]:
+    """Range edges from approximate quantiles: one number per range on the driver.
 
     None at all when the counted records fit one task.
     """
-    if values.count() <= WHOLE_BELOW:
+    records = _more_than_one_task(values)
+    if not records:
         return []
+    ranges = ranges or ranges_for(records)
     fractions = [i / ranges for i in range(1, ranges)]
     return sorted(set(values.approxQuantile(column, fractions, 1.0 / (4 * ranges))))
 
 
 def with_range(values: DataFrame, column: str, edges: Sequence[float]) -> DataFrame:
-    """Adds ``_range``, non-decreasing in ``column``."""
+    """Adds ``_range``, non-decreasing in ``column``; NaN, which sorts last, has the last one."""
     splits = [float("-inf"), *edges, float("inf")]
-    slicer = Bucketizer(splits=splits, inputCol="_axis", outputCol="_range")
+    slicer = Bucketizer(splits=splits, inputCol="_axis", outputCol="_range", handleInvalid="keep")
     placed = values.withColumn("_axis", F.col(column).cast("double"))
     return slicer.transform(placed).withColumn("_range", F.col("_range").cast("int")).drop("_axis")
 
 
+def with_range_by(values: DataFrame, column: str, by: list[str]) -> DataFrame:
+    """Adds ``_range`` as above, with edges of each group's own: groups may lie on different scales."""
+    axis = F.col(column).cast("double")
+    sizes = values.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    ranges = ranges_for(largest)
+    fractions = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    real = F.when(~F.isnan(axis), axis)
+    edges = values.groupBy(*[F.col(c).alias(f"_g_{c}") for c in by]).agg(
+        F.percentile_approx(real, fractions, F.lit(4 * ranges)).alias("_edges")
+    )
+    match = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]
+    found = F.aggregate(
+        F.sequence(F.lit(0), F.lit(ranges.bit_length())),
+        F.struct(F.lit(0).alias("low"), F.lit(ranges - 1).alias("high")),
+        lambda at, _: _halved(at, axis),
+        lambda at: at["low"],
+    )
+    return values.join(edges, match).withColumn("_range", F.coalesce(found, F.lit(0))).drop(
+        "_edges", *[f"_g_{c}" for c in by]
+    )
+
+
+def _halved(at: Column, axis: Column) -> Column:
+    """One step of a binary search for the number of edges at or below a value."""
+    middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+    above = axis >= F.get(F.col("_edges"), middle)
+    open_ = at["low"] < at["high"]
+    return F.struct(
+        F.when(open_ & above, middle + 1).otherwise(at["low"]).alias("low"),
+        F.when(open_ & ~above, middle).otherwise(at["high"]).alias("high"),
+    )
+
+
 def running_totals(
     rows: DataFrame,
     order: str,
@@ -47,13 +95,13 @@ def running_totals(
     *,
     by: Sequence[str] = (),
     descending: bool = False,
-    ranges: int = RANGES,
+    ranges: int | None = None,
     edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """One record per distinct (``by``, ``order``) with each sum, the sum up to and including
     the value (``cum_``) and the sum over the group (``all_``). Rows with a NULL order drop out.
 
-    Ties share a record, so every quantity built on this is tie-aware.
+    Ties share a record, so every quantity built on this is tie-aware. NaN is the largest value.
     """
     by = list(by)
     values = (
@@ -73,11 +121,15 @@ def accumulate(
     *,
     by: Sequence[str] = (),
     descending: bool = False,
-    ranges: int = RANGES,
+    ranges: int | None = None,
     edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """As :func:`running_totals`, for input that already holds one record per value."""
     by = list(by)
+    if edges is None and by:
+        if _more_than_one_task(values):
+            return _accumulate_ranges(with_range_by(values, order, by), order, names, by, descending)
+        edges = []
     if edges is None:
         edges = cut_points(values, order, ranges)
     if not edges:
@@ -105,7 +157,7 @@ def _accumulate_ranges(
     span = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = span.orderBy(F.col("_range").desc() if descending else F.col("_range"))
     earlier = earlier.rangeBetween(Window.unboundedPreceding, -1)
-    # At most RANGES records per group from here to the join.
+    # One record per group and range from here to the join.
     offsets = (
         placed.groupBy(*by, "_range")
         .agg(*[F.sum(n).alias(n) for n in names])
@@ -196,11 +248,11 @@ def seeded_hash(seed: int, *columns: str) -> Column:
 def hash_rank(rows: DataFrame, key: str, seed: int, *, by: Sequence[str] = ()) -> DataFrame:
     """Adds ``rank`` (from 1) and ``group_rows``: the position of each row in hash order.
 
-    ``key`` must be unique within ``by``. Hashes are uniform, so fixed ranges of the leading
-    digits balance the work without looking at the data.
+    ``key`` must be unique within ``by``. Hashes are uniform, so even ranges of the leading digits
+    balance the work; their number follows from the number of rows.
     """
     by = list(by)
-    width = 16**_HASH_DIGITS // RANGES
+    width = 16**_HASH_DIGITS // ranges_for(rows.count())
     digits = F.conv(F.substring(F.col("_hash"), 1, _HASH_DIGITS), 16, 10).cast("bigint")
     placed = (
         rows.withColumn("_hash", seeded_hash(seed, key))

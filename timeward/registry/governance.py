@@ -10,25 +10,27 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from timeward.contract.document import from_document, to_document
+from timeward.contract.document import from_document, intact, to_document
 from timeward.contract.tables import (
     PRECEDENCE,
     admitted,
-    admitted_digest,
     blacklist_rejections,
     build_contract,
     catalog,
-    declare_columns,
+    declared_columns,
+    fingerprint,
     freshness,
     integrity,
     lineage,
     map_digest,
+    map_lines,
     model_problems,
     overridden,
     override_rows,
     read_fragments,
     rejected,
     rejections_of,
+    schema_rows,
     summary,
     undeclared,
 )
@@ -65,7 +67,7 @@ from timeward.plans.gate import (
     score_floor,
     verdict,
 )
-from timeward.policy import Blacklisted, Override, Policy
+from timeward.policy import ADMIT, REJECT, Policy, Ruling
 from timeward.registry import query, steady, steady_sql
 from timeward.registry.adapters import (
     scored,
@@ -226,8 +228,10 @@ def segment_qualification_query(spark, folder):
 
 _POLICY = Policy(
     derivations=(Derivation("D3n", "days_since_to_start_day", ("D3",)),),
-    blacklist=(Blacklisted("D11", "counter is being retired"),),
-    overrides=(Override("D2", "a start day is meant to move", date(2999, 12, 31)),),
+    rulings=(
+        Ruling("D11", REJECT, "counter is being retired"),
+        Ruling("D2", ADMIT, "a start day is meant to move", date(2999, 12, 31)),
+    ),
 )
 _DERIVED = ["D3n"]
 _RETRIEVED = ["C1", "C2", "C5"]
@@ -270,7 +274,7 @@ def _verdicts(spark, folder):
 
 def _contract(spark, folder):
     rows = apply_derivations(_orders(spark, folder), _POLICY.derivations)
-    declared = declare_columns(spark, rows.schema, retrieved=_RETRIEVED, derived=_DERIVED)
+    declared = declared_columns(schema_rows(spark, rows.schema), retrieved=_RETRIEVED, derived=_DERIVED)
     rejections = _verdicts(spark, folder).unionByName(blacklist_rejections(spark, _POLICY))
     return build_contract(declared, rejections, override_rows(spark, _POLICY))
 
@@ -316,15 +320,36 @@ def contract_summary(spark, folder):
     return summary(_contract(spark, folder))
 
 
+_FITTED = ["addr1", "P_emaildomain", "DeviceInfo"]
+
+
+def _map_digest_sql() -> str:
+    """Expects tx."""
+    each = " UNION ALL ".join(f"SELECT '{c}' AS col, {c}::VARCHAR AS val FROM tx" for c in _FITTED)
+    return f"""SELECT col, count(*) AS levels,
+  sum(CAST('0x' || substr(sha256(col || '|' || val || '|' || cnt::VARCHAR), 1, 15) AS BIGINT))::VARCHAR AS digest
+FROM (SELECT col, val, count(*) AS cnt FROM ({each}) WHERE val IS NOT NULL GROUP BY ALL HAVING count(*) >= 2) GROUP BY col"""
+
+
+def _policy_lines_sql() -> str:
+    quoted = (line.replace("'", "''") for line in _POLICY.lines())
+    return ", ".join(f"('{line}')" for line in quoted)
+
+
 @query(
     "l06_fingerprint",
     "L6 H12",
-    f"""{_CONTRACT}
-SELECT substring(sha256(concat(string_agg(concat("column", '|', source, '|', dtype), ',' ORDER BY position)
-  FILTER (admitted), '#{_POLICY.digest()}')), 1, 16) AS fingerprint FROM ct""",
+    f"""{_CONTRACT}, fitted AS ({_map_digest_sql()}), parts AS (
+  SELECT 'column|' || lpad(position::VARCHAR, 6, '0') || '|' || "column" || '|' || source || '|' || dtype AS line FROM ct WHERE admitted
+  UNION ALL SELECT 'map|' || col || '|' || levels || '|' || digest FROM fitted
+  UNION ALL SELECT * FROM (VALUES {_policy_lines_sql()})
+)
+SELECT substring(sha256(string_agg(line, chr(10) ORDER BY line)), 1, 16) AS fingerprint FROM parts""",
 )
 def fingerprint_query(spark, folder):
-    return admitted_digest(_contract(spark, folder), _POLICY.digest())
+    maps = frequency_map(transactions(spark, folder, "orders"), _FITTED)
+    lines = [r["line"] for r in map_lines(maps).collect()]
+    return fingerprint(_contract(spark, folder), [*_POLICY.lines(), *lines])
 
 
 @query(
@@ -337,10 +362,9 @@ def document_digests(spark, folder):
     return docs.select("doc_id", short_digest(F.col("text")).alias("digest"))
 
 
-@query("l06_fitted_map_digest", "L6 D6")
+@query("l06_fitted_map_digest", "L6 D6", f"""{tx_sql()} {_map_digest_sql().replace("SELECT col, count(*) AS levels", 'SELECT col AS "column", count(*) AS levels', 1)}""")
 def fitted_map_digest(spark, folder):
-    columns = ["addr1", "P_emaildomain", "DeviceInfo"]
-    return map_digest(frequency_map(transactions(spark, folder), columns))
+    return map_digest(frequency_map(transactions(spark, folder), _FITTED))
 
 
 @query(
@@ -391,12 +415,24 @@ def freshness_by_load_day(spark, folder):
 @query(
     "l09_integrity",
     "L9 L7",
-    f"{_CONTRACT}\nSELECT count(*) FILTER (admitted) AS admitted, count(*) FILTER (admitted) >= 5 AS enough, true AS intact FROM ct",
+    f"""{_CONTRACT}, counted AS (SELECT count(*) FILTER (admitted) AS admitted FROM ct)
+SELECT state, admitted, admitted >= 5 AS enough, state = 'as stored' AS intact FROM counted,
+  (VALUES ('as stored'), ('column edited'), ('policy edited')) AS v(state)""",
 )
 def integrity_query(spark, folder):
     contract = materialize(_contract(spark, folder), "contract")
-    document = to_document(contract, _POLICY)
-    return integrity(contract, 5, document["fingerprint"], to_document(contract, _POLICY)["fingerprint"])
+    stored = to_document(contract, _POLICY)
+    first = {**stored["columns"][0], "dtype": "edited", "admitted": True}
+    states = {
+        "as stored": stored,
+        "column edited": {**stored, "columns": [first, *stored["columns"][1:]]},
+        "policy edited": {**stored, "policy": stored["policy"][1:]},
+    }
+    found = None
+    for state, document in states.items():
+        row = integrity(contract, 5, intact(spark, document)).withColumn("state", F.lit(state))
+        found = row if found is None else found.unionByName(row)
+    return found
 
 
 _USED = ["TransactionAmt", "C1", "D11", "V999"]
@@ -407,7 +443,7 @@ _USED = ["TransactionAmt", "C1", "D11", "V999"]
     "L10 G2 B14",
     f"""{_CONTRACT},
 us AS (SELECT unnest({_USED!r}) AS c)
-SELECT us.c AS "column", 'used but not admitted' AS problem, coalesce(x.rejected_by, 'not declared') AS rejected_by
+SELECT us.c AS "column", 'in the model, not in the contract' AS problem, coalesce(x.rejected_by, 'not declared') AS rejected_by
 FROM us LEFT JOIN ct x ON x."column" = us.c WHERE us.c NOT IN (SELECT "column" FROM ct WHERE admitted)
 UNION ALL SELECT "column", 'admitted but unused', '' FROM ct WHERE admitted AND "column" NOT IN (SELECT c FROM us)""",
 )
@@ -425,7 +461,7 @@ def model_against_contract(spark, folder):
 def rejections_not_declared(spark, folder):
     """Against a declaration that lost its first columns."""
     rows = apply_derivations(_orders(spark, folder), _POLICY.derivations)
-    declared = declare_columns(spark, rows.schema).where(F.col("position") > 5)
+    declared = declared_columns(schema_rows(spark, rows.schema)).where(F.col("position") > 5)
     rejections = _verdicts(spark, folder).unionByName(blacklist_rejections(spark, _POLICY))
     return undeclared(rejections, declared)
 

@@ -7,6 +7,7 @@ all columns, and only then are they cast back.
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -158,11 +159,22 @@ def load_inferred(spark: SparkSession, path: str) -> DataFrame:
 # ---- checks on the file ----------------------------------------------------------------------
 
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.text(path).first()
-    if first is None:
+def headers_of(spark: SparkSession, path: str, most: int = 20) -> list[list[str]]:
+    """The different headers among the files at ``path``, up to ``most``; a sound folder has one."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    # A file's first line is the first one read from its start.
+    firsts = (
+        lines.where("start = 0")
+        .withColumn("place", F.monotonically_increasing_id())
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("header"))
+    )
+    found = [r["header"] for r in firsts.select("header").distinct().orderBy("header").limit(most).collect()]
+    if not found:
         raise LoadError(f"{path} is empty")
-    return [name.strip().strip('"') for name in first[0].split(",")]
+    return [[name.strip() for name in next(csv.reader([line], skipinitialspace=True), [])] for line in found]
 
 
 def header_mismatches(header: Sequence[str], pins: Sequence[Pin]) -> list[str]:
@@ -178,8 +190,10 @@ def header_mismatches(header: Sequence[str], pins: Sequence[Pin]) -> list[str]:
 
 
 def require_header(spark: SparkSession, path: str, pins: Sequence[Pin]) -> None:
-    if wrong := header_mismatches(header_of(spark, path), pins):
-        raise LoadError(f"{path}: {'; '.join(wrong)}")
+    """Raises if any file at ``path`` has another header than the pins name, position by position."""
+    for header in headers_of(spark, path):
+        if wrong := header_mismatches(header, pins):
+            raise LoadError(f"{path}: {'; '.join(wrong)}")
 
 
 def _is_invalid(label: str) -> Column:
