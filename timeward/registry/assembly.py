@@ -28,7 +28,7 @@ from timeward.operators.assemble import (
 )
 from timeward.operators.lookups import left_attach, names_in_both, names_missing_from, with_lookup
 from timeward.plans.features import transaction_features
-from timeward.policy import DEFAULT_DERIVATIONS
+from timeward.policy import DEFAULT_DERIVATIONS, Policy
 from timeward.registry import query
 from timeward.registry.adapters import (
     CLIENT_SQL,
@@ -47,8 +47,6 @@ from timeward.registry.adapters import (
 from timeward.registry.history import AGGREGATES, features_cte, rounded
 
 _NULLS_SQL = " + ".join(f"(CASE WHEN tx.{v} IS NULL THEN 1 ELSE 0 END)" for v in V_EXPRESSIONS)
-_SHORT = ["V1", "V2", "V3", "V4", "V5", "V6", "V7"]
-_SHORT_NULLS = " + ".join(f"(CASE WHEN tx.{v} IS NULL THEN 1 ELSE 0 END)" for v in _SHORT)
 
 
 @query(
@@ -68,13 +66,13 @@ _ORDER_COLUMNS = ", ".join(f"tx.{c}" for c in ROLE_COLUMNS)
 _JOINED_ORDERS = f"""{wide_sql('orders')},
 {IDENTITY_SQL},
 jn AS (SELECT {_ORDER_COLUMNS}, idt.id_01, idt.id_13, idt.DeviceType,
-  CAST({_SHORT_NULLS} AS INT) AS null_count_V_block
+  CAST({_NULLS_SQL} AS INT) AS null_count_V_block
 FROM tx LEFT JOIN idt ON tx.TransactionID = idt.TransactionID)"""
 
 
 def _joined_orders(spark, folder):
-    rows = wide_transactions(spark, folder, "orders").select(*ROLE_COLUMNS, *_SHORT)
-    return join_identity(rows, identity(spark, folder), block=_SHORT).drop(*_SHORT)
+    rows = wide_transactions(spark, folder, "orders").select(*ROLE_COLUMNS, *V_COLUMNS)
+    return join_identity(rows, identity(spark, folder), block=V_COLUMNS).drop(*V_COLUMNS)
 
 
 query("c01_left_join_identity", "C1 B1 D1 A20", f"{_JOINED_ORDERS}\nSELECT * FROM jn")(_joined_orders)
@@ -99,12 +97,12 @@ def documents_with_labels(spark, folder):
     f"""{wide_sql('orders')},
 {IDENTITY_SQL}
 SELECT tx.TransactionID, tx.TransactionDT, tx.TransactionAmt, idt.id_01, idt.id_13, idt.DeviceType,
-  CAST({_SHORT_NULLS} AS INT) AS null_count_V_block, CAST(NULL AS BIGINT) AS isFraud
+  CAST({_NULLS_SQL} AS INT) AS null_count_V_block, CAST(NULL AS BIGINT) AS isFraud
 FROM tx LEFT JOIN idt USING (TransactionID)""",
 )
 def scoring_join_without_label(spark, folder):
-    rows = wide_transactions(spark, folder, "orders").select(ID, TIME, "TransactionAmt", *_SHORT)
-    return join_scoring_identity(rows, identity(spark, folder), block=_SHORT).drop(*_SHORT)
+    rows = wide_transactions(spark, folder, "orders").select(ID, TIME, "TransactionAmt", *V_COLUMNS)
+    return join_scoring_identity(rows, identity(spark, folder), block=V_COLUMNS).drop(*V_COLUMNS)
 
 
 _FEATURE_LIST = ", ".join(f"ft.{c}" for c in [CLIENT, *FEATURES, *AGGREGATES])
@@ -231,23 +229,17 @@ query("g01_scoring_history", "G1 B10 B11", f"{_UNION_SQL}\nSELECT * FROM hist")(
 @query(
     "e17_features_over_union",
     "E17 C5",
-    f"""{_UNION_SQL},
-wc AS (SELECT *, {CLIENT_SQL} AS client_uid FROM hist),
-w AS (SELECT TransactionID,
-  count(*) OVER d AS card_txn_count_24h,
-  TransactionDT - max(TransactionDT) OVER p AS seconds_since_prev_txn_card,
-  CASE WHEN client_uid IS NULL THEN NULL ELSE count(*) OVER c END AS client_txn_count_prior
-FROM wc WINDOW d AS (PARTITION BY card1 ORDER BY TransactionDT RANGE BETWEEN 86400 PRECEDING AND 1 PRECEDING),
-  p AS (PARTITION BY card1 ORDER BY TransactionDT RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-  c AS (PARTITION BY client_uid ORDER BY TransactionDT RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT w.* FROM w JOIN la ON w.TransactionID = la.TransactionID""",
+    f"""{tx_sql()}, {_HALVES_SQL},
+hist AS (SELECT *, 'train' AS origin FROM tr UNION ALL SELECT * REPLACE (CAST(NULL AS BIGINT) AS isFraud), 'test' FROM la),
+{features_cte('hist')}
+SELECT la.TransactionID, {_FEATURE_LIST} FROM ft JOIN la ON ft.TransactionID = la.TransactionID""",
 )
 def features_over_union(spark, folder):
-    _, later = _halves(spark, folder)
-    features = transaction_features(_union(spark, folder), c_columns=(), m_columns=())
-    wanted = ["card_txn_count_24h", "seconds_since_prev_txn_card", "client_txn_count_prior"]
+    train, later = _halves(spark, folder)
+    history = scoring_history(train, later.drop(LABEL).withColumn("extra", F.lit(1)))
+    features = transaction_features(history, derivations=Policy().spread_derivations())
     # Rows are picked after the windows, so a scoring row sees the training period.
-    return assemble_model_input(later.select(ID), features, wanted)
+    return rounded(assemble_model_input(later.select(ID), features, [CLIENT, *FEATURES, *AGGREGATES]))
 
 
 # ---- derived columns -------------------------------------------------------------------------

@@ -36,7 +36,7 @@ from timeward.contract.tables import (
 )
 from timeward.functions.derive import Derivation, apply_derivations, frequency_map
 from timeward.functions.scalars import short_digest
-from timeward.names import AMOUNT, ID, LABEL, PRODUCT, TIME
+from timeward.names import AMOUNT, ID, LABEL, PRODUCT, TIME, V_COLUMNS
 from timeward.operators.metrics import (
     budget_threshold_row,
     calibration_error,
@@ -150,11 +150,12 @@ def distribution_shift_query(spark, folder):
     return found.withColumn("psi", steady(F.col("psi"), 6))
 
 
-_BLOCK = [f"V{i}" for i in range(1, 21)]
+_BLOCK = list(V_COLUMNS)
 _PATTERNS = f"""{wide_sql()},
-pt AS ({' UNION ALL '.join(
-    f"SELECT '{v}' AS col, string_agg(CASE WHEN {v} IS NULL THEN '1' ELSE '0' END, '' ORDER BY TransactionID) AS s, count(DISTINCT {v}) AS levels FROM tx"
-    for v in _BLOCK)}),
+cells AS MATERIALIZED (
+  SELECT * FROM (SELECT TransactionID AS id, {', '.join(_BLOCK)} FROM tx) UNPIVOT INCLUDE NULLS (v FOR col IN ({', '.join(_BLOCK)}))),
+pt AS (SELECT col, string_agg(CASE WHEN v IS NULL THEN '1' ELSE '0' END, '' ORDER BY id) AS s, count(DISTINCT v) AS levels
+  FROM cells GROUP BY col),
 fam AS (SELECT col, min(col) OVER (PARTITION BY s) AS family, levels FROM pt)"""
 
 
@@ -173,14 +174,13 @@ def missing_families_query(spark, folder):
     "N3",
     f"""{_PATTERNS},
 rp AS (SELECT *, first_value(col) OVER (PARTITION BY family ORDER BY levels DESC, col) AS rep FROM fam),
-long AS ({' UNION ALL '.join(f"SELECT TransactionID AS id, '{v}' AS col, {v} AS v FROM tx WHERE {v} IS NOT NULL" for v in _BLOCK)}),
-cr AS (SELECT rp.col, corr(a.v, b.v) AS c FROM rp JOIN long a ON a.col = rp.col JOIN long b ON b.col = rp.rep AND a.id = b.id
-  WHERE rp.col <> rp.rep GROUP BY rp.col)
+cr AS (SELECT rp.col, corr(a.v, b.v) AS c FROM rp JOIN cells a ON a.col = rp.col JOIN cells b ON b.col = rp.rep AND a.id = b.id
+  WHERE rp.col <> rp.rep AND a.v IS NOT NULL AND b.v IS NOT NULL GROUP BY rp.col)
 SELECT family, rp.col AS "column", rep AS representative, {steady_sql('c', 6)} AS correlation,
   coalesce(abs(c) >= 0.5::DOUBLE, false) AS redundant FROM rp LEFT JOIN cr ON rp.col = cr.col""",
 )
 def redundancy_query(spark, folder):
-    rows = wide_transactions(spark, folder).select(ID, *_BLOCK)
+    rows = materialize(wide_transactions(spark, folder).select(ID, *_BLOCK), "wide")
     groups: dict[str, list[str]] = {}
     # One row per column of the block.
     for r in missing_families(rows, _BLOCK).collect():
