@@ -164,7 +164,7 @@ def redundancy(
     """Per group, the column with most distinct values represents it; a member is redundant when
     its correlation with the representative reaches ``least``.
 
-    One pass counts levels, one pass takes every correlation. Both are bounded by the schema.
+    One pass counts levels, one pass takes every correlation, combined before the shuffle.
     """
     members = [c for group in groups.values() for c in group]
     levels = {r["column"]: r["levels"] for r in distinct_values(rows, members).collect()}
@@ -172,28 +172,26 @@ def redundancy(
     for name, group in groups.items():
         ordered = sorted(group, key=lambda c: (-levels.get(c, 0), c))
         pairs += [(name, c, ordered[0]) for c in ordered]
-    taken = rows.agg(
-        *[
-            F.corr(F.col(c).cast("double"), F.col(r).cast("double")).alias(f"_{i}")
-            for i, (_, c, r) in enumerate(pairs)
-            if c != r
-        ]
-        or [F.lit(None).alias("_none")]
-    )
+    number = lambda c: F.col(c).cast("double")
     cells = F.array(
         *[
             F.struct(
                 F.lit(g).alias("family"),
                 F.lit(c).alias("column"),
                 F.lit(r).alias("representative"),
-                (F.lit(None).cast("double") if c == r else F.col(f"_{i}")).alias("correlation"),
+                # A representative is not held against itself.
+                (F.lit(None).cast("double") if c == r else number(c)).alias("_own"),
+                number(r).alias("_other"),
             )
-            for i, (g, c, r) in enumerate(pairs)
+            for g, c, r in pairs
         ]
     )
-    return taken.select(F.inline(cells)).withColumn(
-        "redundant", F.coalesce(F.abs("correlation") >= F.lit(least), F.lit(False))
+    found = (
+        rows.select(F.inline(cells))
+        .groupBy("family", "column", "representative")
+        .agg(F.corr("_own", "_other").alias("correlation"))
     )
+    return found.withColumn("redundant", F.coalesce(F.abs("correlation") >= F.lit(least), F.lit(False)))
 
 
 def segment_qualification(
