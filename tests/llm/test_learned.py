@@ -97,10 +97,11 @@ def test_training_ignores_what_is_held_out(spark):
 
 def _toxic_set():
     r, rows = random.Random(1), []
-    for k in range(400):
-        text = prose(k, r.randrange(30, 200)).split()
+    for k in range(800):
+        text = [f"w{int(1.01 ** r.randrange(900))}" for _ in range(r.randrange(30, 120))]
         if bad := k % 4 == 0:
-            text[r.randrange(len(text))] = r.choice(["nasty", "vile", "You rotten thing"])
+            for _ in range(3):
+                text[r.randrange(len(text))] = r.choice(["nasty", "vile", "You rotten thing"])
         rows.append((k, " ".join(text), int(bad)))
     return rows
 
@@ -111,10 +112,12 @@ def test_ftrl_finds_the_words_and_is_sparse(spark):
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
     held = remainder(F.col("doc_id"), 5) == 0
     weights = toxicity.train(docs, labels, ~held)
-    assert 0 < len(weights.slots) < 400
+    assert 0 < len(weights.slots) < 1000
     scored = toxicity.with_toxicity(docs, weights).join(labels, "doc_id").where(held).collect()
     assert len(scored) > 40
-    assert all((r["toxicity"] >= 0.5) == (r["toxic"] == 1) for r in scored)
+    right = sum((r["toxicity"] >= 0.5) == (r["toxic"] == 1) for r in scored)
+    assert right / len(scored) > 0.95
+    assert all(r["toxicity"] < 0.5 for r in scored if not r["toxic"])
 
     hard = toxicity.with_toxicity(hard_docs(spark).withColumn("toxicity", F.lit("old")), weights).collect()
     assert len(hard) == len(hard_rows()) and all(0 <= r["toxicity"] <= 1 for r in hard)

@@ -68,9 +68,16 @@ class Weights:
 
 
 def fit(
-    rows: list[tuple[np.ndarray, int]], alpha: float = 0.3, beta: float = 1.0, l1: float = 10.0, l2: float = 0.1, passes: int = 10
-) -> Weights:
-    """FTRL-proximal over ``rows`` (distinct slots, label) in their order. No rows give no weights."""
+    rows: list[tuple[np.ndarray, int]], alpha: float = 0.5, beta: float = 1.0, l1: float | None = None, l2: float = 0.1,
+    passes: int = 20,
+) -> Weights:
+    """FTRL-proximal over ``rows`` (distinct slots, label) in their order. No rows give no weights.
+
+    The default of ``l1`` grows with the root of the number of rows, as the sum of gradients of a word
+    without meaning does.
+    """
+    if l1 is None:
+        l1 = 0.3 * len(rows) ** 0.5
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     bias = 1 << BITS
 
