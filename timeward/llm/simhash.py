@@ -199,8 +199,10 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Data
     """
     settle(docs.sparkSession)
     fp, row_id = fresh(docs, "fp"), F.col("doc_id")
-    printed = materialize(with_fingerprint(docs, out=fp), "printed")
-    prints = printed.select(row_id, F.col(fp).alias("fp"))
+    printed = with_fingerprint(docs, out=fp)
+    # Fingerprints are taken once for the classes and again for the rows that stay: cheaper than
+    # writing every text a second time.
+    prints = materialize(printed.select("doc_id", F.col(fp).alias("fp")), "fingerprints")
     named = classes(prints, radius, tile)
     best = (
         prints.groupBy("doc_id", "fp")
