@@ -36,11 +36,17 @@ class Mix:
 
 
 def words(text: Column) -> Column:
-    """Tokens as white-space separated words; a null text has none."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\f\r", " " * 5)
-    # Each word but the first follows a blank: count the blanks before words.
-    lone = F.regexp_replace(F.trim(spaced), " +", " ")
-    return F.when(lone == "", 0).otherwise(F.length(lone) - F.length(F.translate(lone, " ", "")) + 1).cast("bigint")
+    """Tokens as white-space separated words; a null text has none.
+
+    Byte-wise replacements and lengths only; a regular expression just for texts with runs of blanks.
+    """
+    spaced = F.coalesce(text, F.lit(""))
+    for blank in "\t\n\x0b\f\r":
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+    trimmed = F.trim(spaced)
+    single = F.when(trimmed.contains("  "), F.regexp_replace(trimmed, " +", " ")).otherwise(trimmed)
+    blanks = F.octet_length(single) - F.octet_length(F.replace(single, F.lit(" "), F.lit("")))
+    return F.when(trimmed == "", 0).otherwise(blanks + 1).cast("bigint")
 
 
 def _hash(*parts) -> Column:
