@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeward.llm import chat, line_quality, mixing, outliers, packing, permutation_index, secret_scan, simhash, sql, toxicity, url_filter
+from timeward.llm import chat, line_quality, merkle, mixing, outliers, packing, permutation_index, secret_scan, simhash, sql, toxicity, url_filter
 from timeward.llm.text import remainder, table
 
 
@@ -102,6 +102,24 @@ def op10_simhash_tiles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    leaf = merkle.digest(*fields)
+    changed = merkle.digest(*fields[:3], F.try_add("n_chars", F.lit(1)), fields[4])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, changed).otherwise(leaf)
+    leaves = docs.select("doc_id", "lang", leaf.alias("leaf"), tampered.alias("tampered"))
+    proved = merkle.manifest(leaves, F.col("lang"), ["doc_id"])
+    return proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("steps")).alias("proof_sha256"),
+        merkle.folded(F.col("tampered"), F.col("steps")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -115,10 +133,12 @@ QUERIES = {
         op8_boosted_url_trees,
         op9_temperature_mixing,
         op10_simhash_tiles,
+        op13_merkle_manifest,
     )
 }
 SQL: dict[str, str] = {
     "op3_robust_outliers": sql.outliers_sql(),
     "op7_grammar_round_trip": sql.chat_sql(_LOOKALIKE),
+    "op13_merkle_manifest": sql.merkle_sql(),
     "op9_temperature_mixing": sql.mixing_sql(mixing.Mix()),
 }

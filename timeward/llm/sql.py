@@ -212,3 +212,77 @@ judged AS (SELECT r, ({n.squared_distance()}) / factor <= {n.CUTOFF} AS inside F
 SELECT doc_id, {", ".join(n.STATS)}, base_failed, NOT base_failed AND coalesce(inside, true) AS kept
 FROM based LEFT JOIN judged ON based.r = judged.r
 """
+
+
+# CRC-32 of decimal digits, byte by byte and bit by bit.
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)), "
+    "lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), list_transform(range(8), lambda b: b::BIGINT)), "
+    "lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+)
+
+
+def _fields(*names: str) -> str:
+    parts = [f"CASE WHEN {n} IS NULL THEN '-' ELSE strlen(({n})::VARCHAR) || ':' || ({n})::VARCHAR END" for n in names]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree(name: str, leaves: str, levels: int) -> str:
+    """CTEs ``name_0`` to ``name_levels`` of nodes, a level at a time; a tree with one node left stays as it is."""
+    parts = [f"{name}_0 AS MATERIALIZED (SELECT tree, rank AS pos, size AS n, digest FROM {leaves})"]
+    for k in range(levels):
+        parts.append(f"""{name}_{k + 1} AS MATERIALIZED (
+    SELECT tree, pos // 2 AS pos, min((n + 1) // 2) AS n,
+        CASE WHEN min(n) = 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+    FROM {name}_{k} GROUP BY tree, pos // 2
+)""")
+    return ",\n".join(parts)
+
+
+def _climb(name: str, start: str, levels: int) -> str:
+    """CTE ``name_up_levels``: every row of ``start`` (tree, rank, size, folded, proof) after the climb."""
+    parts = [f"{name}_up_0 AS (SELECT * FROM {start})"]
+    for k in range(levels):
+        parts.append(f"""{name}_up_{k + 1} AS MATERIALIZED (
+    SELECT u.* REPLACE (
+        CASE WHEN s.n = 1 THEN folded
+            WHEN (rank >> {k}) % 2 = 0 THEN sha256(folded || coalesce(o.digest, '')) ELSE sha256(o.digest || folded) END AS folded,
+        proof || coalesce(CASE WHEN s.n > 1 THEN o.digest END, '') AS proof)
+    FROM {name}_up_{k} u JOIN {name}_{k} s ON s.tree = u.tree AND s.pos = rank >> {k}
+    LEFT JOIN {name}_{k} o ON o.tree = u.tree AND o.pos = xor(rank >> {k}, 1)
+)""")
+    return ",\n".join(parts)
+
+
+def merkle_sql(levels: int = 24, upper_levels: int = 8) -> str:
+    """Levels are written out: enough for 2^24 documents of a language and 2^8 languages."""
+    return f"""
+WITH leaves AS MATERIALIZED (
+    SELECT doc_id, CASE WHEN lang IS NULL THEN '0' ELSE '1' || lang END AS tree,
+        {_fields("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+        CASE WHEN {_CRC.format("doc_id::VARCHAR")} % 7 = 0
+            THEN {_fields("doc_id", "source", "lang", "n_chars + 1", "text")}
+            ELSE {_fields("doc_id", "source", "lang", "n_chars", "text")} END AS tampered
+    FROM documents
+),
+placed AS MATERIALIZED (
+    SELECT *, leaf AS digest, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+        count(*) OVER (PARTITION BY tree) AS size
+    FROM leaves
+),
+{_tree("low", "placed", levels)},
+subroots AS MATERIALIZED (
+    SELECT '' AS tree, tree AS name, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS rank, count(*) OVER () AS size
+    FROM low_{levels}
+),
+{_tree("high", "subroots", upper_levels)},
+low_start AS (SELECT *, tampered AS folded, '' AS proof FROM placed),
+{_climb("low", "low_start", levels)},
+high_start AS (
+    SELECT s.tree, s.rank, s.size, s.digest AS subroot, u.doc_id, u.leaf, u.folded, u.proof
+    FROM low_up_{levels} u JOIN subroots s ON s.name = u.tree
+),
+{_climb("high", "high_start", upper_levels)}
+SELECT doc_id, leaf, subroot, r.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.digest AS verified
+FROM high_up_{upper_levels} CROSS JOIN high_{upper_levels} r
+"""
