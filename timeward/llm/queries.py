@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeward.llm import chat, line_quality, merkle, mixing, outliers, packing, permutation_index, secret_scan, simhash, sql, toxicity, url_filter
+from timeward.llm import chat, license_scan, line_quality, merkle, mixing, outliers, packing, permutation_index, secret_scan, simhash, sql, toxicity, url_filter
 from timeward.llm.text import remainder, table
 
 
@@ -102,6 +102,22 @@ def op10_simhash_tiles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_suffix_automaton_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_scan.with_licenses(table(spark, folder, "documents").select("doc_id", "text"))
+    licenses, starts = F.col("licenses"), F.transform("licenses.places", lambda p: p["start"])
+    return found.select(
+        "doc_id",
+        "licenses.n_words",
+        F.size("licenses.places").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(license_scan.base_labels(licenses), ",").alias("base_labels"),
+        F.array_join(license_scan.labels(licenses), ",").alias("labels"),
+        license_scan.score(licenses).alias("score"),
+        "licenses.spans",
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
@@ -133,6 +149,7 @@ QUERIES = {
         op8_boosted_url_trees,
         op9_temperature_mixing,
         op10_simhash_tiles,
+        op11_suffix_automaton_licenses,
         op13_merkle_manifest,
     )
 }
