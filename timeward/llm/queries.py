@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeward.llm import chat, license_scan, line_quality, merkle, mixing, outliers, packing, permutation_index, secret_scan, simhash, sql, toxicity, url_filter
+from timeward.llm import chat, license_scan, line_quality, merkle, mixing, outliers, packing, permutation_index, secret_scan, simhash, sql, toxicity, treap_search, url_filter
 from timeward.llm.text import remainder, table
 
 
@@ -118,6 +118,11 @@ def op11_suffix_automaton_licenses(spark: SparkSession, folder: str) -> DataFram
     )
 
 
+def op12_treap_search(spark: SparkSession, folder: str) -> DataFrame:
+    index = treap_search.build(table(spark, folder, "documents"))
+    return treap_search.search(index, table(spark, folder, "benchmark"), k=20)
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
@@ -150,12 +155,14 @@ QUERIES = {
         op9_temperature_mixing,
         op10_simhash_tiles,
         op11_suffix_automaton_licenses,
+        op12_treap_search,
         op13_merkle_manifest,
     )
 }
 SQL: dict[str, str] = {
     "op3_robust_outliers": sql.outliers_sql(),
     "op7_grammar_round_trip": sql.chat_sql(_LOOKALIKE),
+    "op12_treap_search": sql.search_sql(),
     "op13_merkle_manifest": sql.merkle_sql(),
     "op9_temperature_mixing": sql.mixing_sql(mixing.Mix()),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from timeward.llm import chat, mixing, outliers
+from timeward.llm import chat, mixing, outliers, treap_search
 
 _BLANK = r"[\x20\x09-\x0D]"
 
@@ -286,3 +286,31 @@ high_start AS (
 SELECT doc_id, leaf, subroot, r.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.digest AS verified
 FROM high_up_{upper_levels} CROSS JOIN high_{upper_levels} r
 """
+
+
+def search_sql(k: int = 20) -> str:
+    term = treap_search.TERM
+    lower = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    cut = f"unnest(regexp_extract_all({lower.format('text')}, '{term}'))"
+    return f"""
+WITH numbered AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+words AS MATERIALIZED (SELECT r, {cut} AS term FROM numbered),
+sizes AS (SELECT r, count(*) AS n FROM words GROUP BY r),
+whole AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+asked AS (SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, {cut} AS term FROM benchmark) GROUP BY ALL),
+postings AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM postings CROSS JOIN whole GROUP BY term
+),
+scored AS (
+    SELECT item_id, r, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (r) CROSS JOIN whole GROUP BY ALL
+),
+placed AS (
+    SELECT item_id, doc_id, score,
+        row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank
+    FROM scored JOIN numbered USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= {k}
+"""
