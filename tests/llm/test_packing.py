@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tests.llm.samples import empty_docs, hard_docs, hard_rows
+from tests.llm.samples import empty_docs, hard_docs, hard_rows, prose
 from timeward.llm import packing
 
 
@@ -39,7 +39,7 @@ def test_ids_come_back(spark):
 @pytest.mark.parametrize(
     "text",
     [
-        "Word, word. WORD! word?! word...", "l'été naïve ÀÉÎ ÿ Ÿ ß ẞ", "I'll don't we've 's 'S 'T", "a<|endoftext|>b <|startoftext|>",
+        "Word, word. WORD! word?! word...", "l'été naïve ÀÉÎ ÿ Ÿ ß ẞ", "<|ENDOFTEXT|> <|EndOfText|>x", "a,., b.-c a--- (x) [y]; É, É. é É", "I'll don't we've 's 'S 'T", "a<|endoftext|>b <|startoftext|>",
         "é å", "ﬁ ΑΣ Σ İ ı K", "1,000.5 3rd x2y", "日本語 текст", " a b​c", "a\x85b\x1cc\x00d", "😀👍🏽", "×÷ a×b",
     ],
 )
@@ -50,6 +50,17 @@ def test_words_encode_as_the_whole_text_does(text):
     assert found == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_forgetting_and_slicing_change_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "_AT_ONCE", 300)
+    monkeypatch.setattr(packing, "_CACHED", 40)
+    encoder = packing._Encoder(packing.default_vocabulary())
+    texts = [prose(k % 7, 30 * k) + ", x. y," for k in range(30)] + [r[1] or "" for r in hard_rows()]
+    coded = encoder.whole.encode_batch(texts, add_special_tokens=False)
+    found = encoder.encode([t.encode() for t in texts])
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [c.ids for c in coded]
+    assert len(encoder.words.young) < 2000
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(packing, "_CACHED", 3)
     encoder = packing._Encoder(packing.default_vocabulary())

@@ -22,11 +22,12 @@ from timeward.llm.text import arrow_column, as_bytes, fresh, settle
 LONGEST = 4096
 END = 2
 
-# Fixed value: printable bytes stand for themselves in a byte-level vocabulary, the others follow from 256.
-_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-# Words without digits, apostrophes or combining marks, which the vocabulary splits off in one way only.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-_CACHED = 250_000
+# Words of letters and a tail of signs without apostrophes, digits or combining marks: the vocabulary splits each part
+# off as one, whatever stands around it.
+_PLAIN = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*()+=/_~^-]*)|(.+))$", re.M)
+# Words that one generation of the memory holds, and bytes of text that are encoded at a time.
+_CACHED = 400_000
+_AT_ONCE = 4 << 20
 
 
 def pieces_of(length: int, longest: int = LONGEST) -> list[int]:
@@ -36,56 +37,119 @@ def pieces_of(length: int, longest: int = LONGEST) -> list[int]:
     return [longest] * (length // longest) + digits
 
 
+class _Memory:
+    """Values by key in two generations: when the younger is full, the older goes and what is used again moves up."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def turn(self) -> None:
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+
+    def missing(self, keys: set) -> list:
+        """Keys that neither generation knows, of those that the younger does not; the others move up."""
+        young, old = self.young, self.old
+        unknown = []
+        for key in keys:
+            if (value := old.get(key)) is None:
+                unknown.append(key)
+            else:
+                young[key] = value
+        return unknown
+
+
 class _Encoder:
     """Ids of words as little-endian unsigned 32-bit bytes, remembered per word.
 
     White space only separates words in this vocabulary (its normalizer works within words), so a text's ids
-    are those of its words, one after another. Words of letters go straight to the merges; all
-    others take the tokenizer's whole path.
+    are those of its words, one after another. The new plain parts of many words are encoded as one text, in which an id
+    with a word end closes each part; other words are encoded one by one.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.merges = self.whole.model
-        spare = iter(range(256, 512))
-        self.letters = {b: b if b in _PRINTABLE else next(spare) for b in range(256)}
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-
-    def _core(self, text: str) -> bytes:
-        ids = self.cores.get(text)
-        if ids is None:
-            if len(self.cores) >= _CACHED:
-                self.cores.clear()
-            mapped = text.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.merges.tokenize(mapped)], "<u4").tobytes()
-            self.cores[text] = ids
-        return ids
+        vocabulary = self.whole.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words, self.parts = _Memory(_CACHED), _Memory(_CACHED)
+
+    def _learn_parts(self, parts: set[str]) -> None:
+        self.parts.turn()
+        unknown = self.parts.missing(parts.difference(self.parts.young))
+        if not unknown:
+            return
+        coded = self.whole.encode_batch_fast([" ".join(unknown)], add_special_tokens=False)[0]
+        ids = np.array(coded.ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
+        if len(ends) != len(unknown):
+            raise ValueError("the vocabulary does not close every part with a word end")
+        raw = ids.tobytes()
+        self.parts.young.update(zip(unknown, map(raw.__getitem__, map(slice, [0, *ends], ends))))
 
     def _learn(self, words: set[bytes]) -> None:
-        odd = []
-        for raw in words:
-            word = raw.decode()
-            if plain := _PLAIN.fullmatch(word):
-                core, tail = plain.groups()
-                self.words[raw] = self._core(core.lower()) + (self._core(tail) if tail else b"")
+        unknown = self.words.missing(words)
+        found = _PLAIN.findall(b"\n".join(unknown).decode())
+        self._learn_parts({core for core, *_ in found if core}.union(tail for _, tail, _ in found if tail))
+        parts, young, odd = self.parts.young, self.words.young, []
+        for raw, (core, tail, other) in zip(unknown, found):
+            if other:
+                odd.append((raw, other))
             else:
-                odd.append((raw, word))
-        found = self.whole.encode_batch_fast([w for _, w in odd], add_special_tokens=False)
-        for (raw, _), coded in zip(odd, found):
-            self.words[raw] = np.array(coded.ids, "<u4").tobytes()
+                young[raw] = parts[core] + parts[tail] if tail else parts[core]
+        coded = self.whole.encode_batch_fast([w for _, w in odd], add_special_tokens=False)
+        for (raw, _), one in zip(odd, coded):
+            young[raw] = np.array(one.ids, "<u4").tobytes()
 
     def ids(self, raw: bytes) -> bytes:
-        words = raw.split()
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            if len(self.words) >= _CACHED:
-                self.words.clear()
-            self._learn(set(words).difference(self.words))
-            return b"".join(map(self.words.__getitem__, words))
+        return self.encode([raw])[0]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text. Texts, or slices of long ones, are taken together up to a size."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        held, size = [], 0
+        for number, raw in enumerate(texts):
+            for part in _slices(raw):
+                held.append((number, _lower(part).split()))
+                size += len(part)
+                if size >= _AT_ONCE:
+                    self._flush(held, out)
+                    held, size = [], 0
+        self._flush(held, out)
+        return [b"".join(parts) for parts in out]
+
+    def _flush(self, held: list[tuple[int, list[bytes]]], out: list[list[bytes]]) -> None:
+        self.words.turn()
+        young = self.words.young
+        open_, new = [], set()
+        for number, words in held:
+            ids = list(map(young.get, words))
+            if None in ids:
+                open_.append((out[number], len(out[number]), words, ids))
+                new.update([w for w, i in zip(words, ids) if i is None])
+                out[number].append(b"")
+            else:
+                out[number].append(b"".join(ids))
+        self._learn(new)
+        for parts, place, words, ids in open_:
+            parts[place] = b"".join([young[w] if i is None else i for w, i in zip(words, ids)])
+
+
+def _lower(raw: bytes) -> bytes:
+    """The vocabulary is lower case; only its special tokens tell cases apart."""
+    return raw if b"<|" in raw else raw.lower()
+
+
+def _slices(raw: bytes):
+    """The text in slices that end at a blank."""
+    at = 0
+    while at < len(raw):
+        end = raw.find(b" ", at + _AT_ONCE)
+        end = len(raw) if end < 0 else end
+        yield raw[at:end]
+        at = end
 
 
 @lru_cache(maxsize=1)
@@ -104,10 +168,9 @@ def _cut(path: str, longest: int, end: int) -> Callable[[pa.Array], pa.Array]:
     last = np.array([end], "<u4").tobytes()
 
     def run(texts: pa.Array) -> pa.Array:
-        encoder = _encoder(path)
         starts, parts, offsets = [], [], [0]
-        for raw in as_bytes(texts):
-            ids = encoder.ids(raw) + last
+        for ids in _encoder(path).encode(as_bytes(texts)):
+            ids += last
             start = 0
             for n in pieces_of(len(ids) // 4, longest):
                 starts.append(start)
