@@ -30,11 +30,12 @@ def plain(leaves, run):
 
 @pytest.mark.parametrize("run", [2, 3])
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 9, 100])
-def test_climb_equals_level_by_level(n, run):
+def test_climb_ends_in_the_root(n, run):
     leaves = [h(str(k)) for k in range(n)]
     levels = next(k for k in range(20) if run**k >= n)
-    (lo, hi, top), steps = merkle.climb([(k, k + 1, d) for k, d in enumerate(leaves)], levels, run)
-    assert (lo, hi, top, steps) == (0, n, *plain(leaves, run))
+    nodes = merkle.climb(leaves, levels, run)
+    assert [len(x) for x in nodes] == [-(-n // run**k) for k in range(levels + 1)]
+    assert nodes[0] == leaves and nodes[-1] == [plain(leaves, run)[0]]
 
 
 @pytest.mark.parametrize("run", [2, 5])

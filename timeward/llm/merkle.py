@@ -3,8 +3,10 @@
 Nodes carry the interval of leaf ranks that they cover, so ancestry is containment: a node's parent is the
 node one level up whose interval holds its own, and its siblings cover what is left of the parent's interval.
 The ranks come from one range partitioning. Levels are taken in bands: the nodes of a band lie in
-buckets of ``run ** BAND`` ranks, so that building is one grouping per band, and a bucket is joined to
-its ancestors once per band, not once per level or leaf.
+buckets of ``run ** BAND`` members, so that building is one grouping per band, and a bucket is joined to
+its ancestors once per band, not once per level or leaf. A bucket holds the digests of its nodes level by level, in the
+order of their intervals, which begin at multiples of the level's width: an interval's difference is a stretch of
+digests before and one after. Rows travel in their buckets and are joined to nothing one by one.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ _SMALL = 10_000
 _PLACE_BITS = 33
 
 _STEP = "struct<before:string,after:string>"
-_CLIMBED = f"struct<top:string,paths:array<struct<lo:bigint,steps:array<{_STEP}>>>>"
+_BYTES = 32  # of a digest
 
 
 def digest(*fields: Column) -> Column:
@@ -46,43 +48,22 @@ def _joined(digests: list[str]) -> str:
     return hashlib.sha256("".join(digests).encode()).hexdigest()
 
 
-def climb(members: list[tuple[int, int, str]], levels: int, run: int = RUN):
-    """Folds nodes ``(lo, hi, digest)``, in the order of their intervals, ``levels`` times.
-
-    Returns the one node left, and for every member its steps upwards: the digests of the siblings before and
-    after it, which cover the difference of the parent's interval and its own.
-    """
-    steps: list[list[tuple[str, str]]] = [[] for _ in members]
-    under = [[k] for k in range(len(members))]  # members that each node covers
-    nodes = members
+def climb(digests: list[str], levels: int, run: int = RUN) -> list[list[str]]:
+    """Digests of all nodes over these, which are neighbours in order, level by level; the first level is they themselves."""
+    out = [digests]
     for _ in range(levels):
-        parents, covered = [], []
-        for at in range(0, len(nodes), run):
-            family = nodes[at : at + run]
-            for k, (lo, hi, _) in enumerate(family, at):
-                before = "".join(d for a, b, d in family if b <= lo)
-                after = "".join(d for a, b, d in family if a >= hi)
-                for m in under[k]:
-                    steps[m].append((before, after))
-            parents.append((family[0][0], family[-1][1], _joined([d for *_, d in family])))
-            covered.append([m for group in under[at : at + run] for m in group])
-        nodes, under = parents, covered
-    return nodes[0], steps
+        below = out[-1]
+        out.append([_joined(below[at : at + run]) for at in range(0, len(below), run)])
+    return out
 
 
 def _climb_batches(run: int) -> Callable[[pa.Array, pa.Array], pa.Array]:
     def fold(buckets: pa.Array, levels: pa.Array) -> pa.Array:
-        out = []
-        for bucket, high in zip(buckets.to_pylist(), levels.to_pylist()):
-            members = [(m["lo"], m["hi"], m["digest"]) for m in bucket]
-            (_, _, top), steps = climb(members, high, run)
-            paths = [
-                {"lo": m[0], "steps": [{"before": b, "after": a} for b, a in s]} for m, s in zip(members, steps)
-            ]
-            out.append({"top": top, "paths": paths})
-        step = pa.struct([("before", pa.string()), ("after", pa.string())])
-        path = pa.struct([("lo", pa.int64()), ("steps", pa.list_(step))])
-        return pa.array(out, pa.struct([("top", pa.string()), ("paths", pa.list_(path))]))
+        out = [
+            [bytes.fromhex("".join(level)) for level in climb(digests, high, run)]
+            for digests, high in zip(buckets.to_pylist(), levels.to_pylist())
+        ]
+        return pa.array(out, pa.list_(pa.binary()))
 
     return fold
 
@@ -128,64 +109,82 @@ def _height(size: Column, run: int) -> Column:
     return F.size(F.filter(spans, lambda width: width < size))
 
 
-def paths_up(leaves: DataFrame, run: int = RUN) -> DataFrame:
-    """``tree, rank, top, steps`` of ranked leaves (``tree, rank, size, digest``).
+def _text(digests: Column) -> Column:
+    return F.lower(F.hex(digests))
 
-    ``top`` is the tree's root, ``steps`` the siblings before and after, from the leaf upwards, each run of
-    siblings as one text of digests; a lone leaf is its own root and has no steps. No rows give no rows.
-    """
-    width = run**BAND
-    level = leaves.select(
-        "tree",
-        F.col("rank").alias("lo"),
-        (F.col("rank") + 1).alias("hi"),
-        "digest",
-        _height(F.col("size"), run).alias("left"),
-    )
+
+def _bands(leaves: DataFrame, run: int) -> list[DataFrame]:
+    """Bands from the lowest up: ``tree, bucket, span, members, nodes, left``. ``bucket`` is the first rank covered, ``span``
+    the ranks that a member covers, ``nodes`` the digests of each level, ``left`` the levels above this band."""
+    level = leaves.select("tree", F.col("rank").alias("lo"), "digest", "row", _height(F.col("size"), run).alias("left"))
     bands, span = [], 1
     while True:
-        span *= width
-        bucket = (F.col("lo") - F.pmod(F.col("lo"), F.lit(span))).alias("bucket")
+        wide = span * run**BAND
+        bucket = (F.col("lo") - F.pmod(F.col("lo"), F.lit(wide))).alias("bucket")
         grouped = level.groupBy("tree", bucket).agg(
-            F.array_sort(F.collect_list(F.struct("lo", "hi", "digest"))).alias("members"), F.first("left").alias("left")
+            F.array_sort(F.collect_list(F.struct("lo", "digest", "row"))).alias("members"), F.first("left").alias("left")
         )
         levels = F.least(F.col("left"), F.lit(BAND))
-        climbed = arrow_column(_climb_batches(run), _CLIMBED)(F.col("members"), levels)
+        nodes = arrow_column(_climb_batches(run), "array<binary>")(F.col("members.digest"), levels)
         band = materialize(
             grouped.select(
-                "tree", "bucket", F.element_at("members", -1)["hi"].alias("end"), (F.col("left") - levels).alias("left"), climbed.alias("climbed")
+                "tree", "bucket", F.lit(span).cast("bigint").alias("span"), nodes.alias("nodes"), (F.col("left") - levels).alias("left"),
+                F.transform("members", lambda m: F.struct(m["lo"], m["row"])).alias("members"),
             ),
             "merkle_band",
-        )
+        )
         bands.append(band)
         level = band.where("left > 0").select(
-            "tree", F.col("bucket").alias("lo"), F.col("end").alias("hi"), F.col("climbed.top").alias("digest"), "left"
+            "tree", F.col("bucket").alias("lo"), _text(F.element_at("nodes", -1)).alias("digest"), F.lit(None).alias("row"), "left"
         )
         if level.isEmpty():
-            break
-    # From the top band down: a bucket's node is a member of the bucket that contains it one band up.
+            return bands
+        span = wide
+
+
+def _own_steps(index: Column, run: int) -> Column:
+    """Siblings within the band, level by level, of a bucket's member by its place."""
+
+    def step(digests: Column, level: Column) -> Column:
+        place = F.floor(index / F.pow(F.lit(float(run)), level)).cast("int")
+        first = place - F.pmod(place, F.lit(run))
+        before = F.substring(digests, _BYTES * first + 1, _BYTES * (place - first))
+        after = F.substring(digests, _BYTES * (place + 1) + 1, _BYTES * (first + run - 1 - place))
+        return F.struct(_text(before).alias("before"), _text(after).alias("after"))
+
+    # The last level is the node over them all; its siblings are the next band's.
+    return F.transform(F.slice("nodes", 1, F.size("nodes") - 1), step)
+
+
+def _tops(bands: list[DataFrame]) -> DataFrame:
+    """``tree, top``: one row per tree, from the band in which it ends."""
+    found = None
+    for band in bands:
+        ended = band.where("left = 0").select("tree", _text(F.element_at("nodes", -1)).alias("top"))
+        found = ended if found is None else found.union(ended)
+    return found
+
+
+def _paths(bands: list[DataFrame], crown: DataFrame, run: int) -> DataFrame:
+    """``row, steps`` and the columns of ``crown`` for every leaf. ``crown``: ``tree``, ``upper`` steps above the tree, and more."""
     above = None
-    for band in reversed(bands):
-        steps = F.array().cast(f"array<{_STEP}>")
-        known = band.select(
-            "tree", "bucket", F.col("climbed.paths").alias("paths"), "left", F.col("climbed.top").alias("own_top")
-        )
-        if above is None:
-            held = known.withColumn("top", F.col("own_top")).withColumn("upper", steps)
+    for number, band in reversed(list(enumerate(bands))):
+        held = band
+        if above is not None:
+            held = held.join(above, ["tree", "bucket"], "left")
+        elif number:
+            held = held.withColumn("higher", F.lit(None).cast(f"array<{_STEP}>"))
+        extra = []
+        if not number:
+            held = held.join(small_side(crown, _SMALL), "tree")
+            extra = [c for c in crown.columns if c not in ("tree", "upper")]
+        higher = [F.coalesce("higher", F.array().cast(f"array<{_STEP}>"))] if "higher" in held.columns else []
+        each = held.select("*", F.explode("members").alias("member"))
+        own = _own_steps(F.floor((F.col("member.lo") - F.col("bucket")) / F.col("span")), run)
+        if number:
+            above = each.withColumn("higher", F.concat(own, *higher)).select("tree", F.col("member.lo").alias("bucket"), "higher")
         else:
-            held = (
-                known.join(above, ["tree", "bucket"], "left")
-                .withColumn("top", F.coalesce("upper_top", "own_top"))
-                .withColumn("upper", F.coalesce("upper_steps", steps))
-            )
-        each = held.select("tree", "top", "upper", F.explode("paths").alias("path"))
-        each = each.select(
-            "tree", F.col("path.lo").alias("rank"), "top", F.concat("path.steps", "upper").alias("steps")
-        )
-        above = each.select(
-            "tree", F.col("rank").alias("bucket"), F.col("top").alias("upper_top"), F.col("steps").alias("upper_steps")
-        )
-    return each
+            return each.select("member.row", *extra, F.concat(own, *higher, F.col("upper")).alias("steps"))
 
 
 def proof_digest(steps: Column) -> Column:
@@ -202,9 +201,10 @@ def manifest(leaves: DataFrame, group: Column, order: list[str], leaf: str = "le
     """Adds ``subroot, root, steps`` to every row of ``leaves``, whose digests are in column ``leaf``.
 
     Rows of one ``group`` (text) form a tree, in the order of the columns ``order``, nulls first, equal ones by digest;
-    groups' roots form the upper tree in bytewise order, the null group first. ``steps`` lead
-    from the leaf to ``root``. Repeated rows are leaves of their own. No rows give no rows. Columns named
-    ``subroot, root, steps`` give way; others stay.
+    groups' roots form the upper tree in bytewise order, the null group first. ``steps`` lead from the leaf to
+    ``root``: the siblings before and after, each as one text of digests; a lone leaf of a lone group has none. Repeated
+    rows are leaves of their own. No rows give no rows. Columns named ``subroot, root, steps`` give way, others
+    stay; rows are shuffled twice and lie in a task by the bucket, so leave long texts out.
     """
     made = {"subroot", "root", "steps"}
     own = [c for c in leaves.columns if c.lower() not in made]
@@ -220,16 +220,12 @@ def manifest(leaves: DataFrame, group: Column, order: list[str], leaf: str = "le
         ),
         "merkle_leaves",
     )
-    rows = materialize(ranked(held, "tree", ["key", "digest", "number"]).drop("key", "number"), "merkle_rows")
-    lower = paths_up(rows.select("tree", "rank", "size", "digest"), run)
-    placed = rows.select("tree", "rank", "row").join(lower, ["tree", "rank"])
-    # The tops again, from the leaves of rank 0: one row per group.
-    tops = materialize(lower.where("rank = 0").select(F.lit("").alias("forest"), "tree", F.col("top").alias("digest")), "subroots")
-    upper_rows = ranked(tops.withColumnRenamed("tree", "name"), "forest", ["name"])
-    upper_rows = materialize(upper_rows.withColumnRenamed("forest", "tree"), "ranked_subroots")
-    upper = paths_up(upper_rows.select("tree", "rank", "size", "digest"), run)
-    known = upper_rows.select("tree", "rank", F.col("name")).join(upper, ["tree", "rank"])
-    known = known.select(F.col("name").alias("tree"), F.col("top").alias("root"), F.col("steps").alias("upper"))
-    return placed.join(small_side(known, _SMALL), "tree").select(
-        "row.*", F.col("top").alias("subroot"), "root", F.concat("steps", "upper").alias("steps")
+    bands = _bands(ranked(held, "tree", ["key", "digest", "number"]), run)
+    tops = materialize(_tops(bands).select(F.lit("").alias("forest"), F.col("tree").alias("name"), F.col("top").alias("digest")), "subroots")
+    groups = ranked(tops, "forest", ["name"]).withColumnRenamed("forest", "tree").withColumn("row", F.struct("name", "digest"))
+    upper = _bands(groups, run)
+    whole = _tops(upper).select("tree", F.col("top").alias("root"), F.array().cast(f"array<{_STEP}>").alias("upper"))
+    crown = _paths(upper, whole, run).select(
+        F.col("row.name").alias("tree"), F.col("row.digest").alias("subroot"), "root", F.col("steps").alias("upper")
     )
+    return _paths(bands, materialize(crown, "crown"), run).select("row.*", "subroot", "root", "steps")
