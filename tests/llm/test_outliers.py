@@ -70,5 +70,41 @@ def test_hard_rows_and_clashing_names(spark):
     assert {r["doc_id"] for r in rows if r["kept"]} == {6, 7, None, 8, 9, 11}
 
 
+def test_planted_outliers_of_one_coordinate(spark):
+    """Each kind passes the base and lies off in few statistics only."""
+    r = random.Random(9)
+
+    def repeated(k, share):
+        words, again = prose(70_000 + k, 200).split(), prose(80_000 + k, 20).split()
+        while len(again) < share * 200:
+            again += again[:20]
+        return " ".join(words[: 200 - len(again)] + again)
+
+    def symbols(k, share):
+        text = prose(60_000 + k, 200)
+        for _ in range(int(share * len(text))):
+            at = r.randrange(len(text))
+            text = text[:at] + "%" + text[at:]
+        return text
+
+    clean = _group(400, "a")
+    few = [row(50_000 + k, prose(50_000 + k, 200) + " 5 %", "en", "a") for k in range(20)]
+    planted = [row(70_000 + k, repeated(k, 0.4), "en", "a") for k in range(20)]
+    planted += [row(60_000 + k, symbols(k, share), "en", "a") for k in range(40) for share in [(0.012, 0.03)[k % 2]]]
+    docs = spark.createDataFrame(clean + few + planted, "doc_id long, text string, lang string, source string, n_chars long")
+    judged = outliers.with_verdict(docs).collect()
+    assert not any(r["stats"]["base_failed"] for r in judged)
+    assert {r["doc_id"] for r in judged if r["kept"]} == {r[0] for r in clean + few}
+
+
+def test_statistics_under_a_filter_take_no_longer(spark):
+    import time
+
+    docs = spark.createDataFrame([(prose(k, 3000),) for k in range(4)], "text string")
+    started = time.perf_counter()
+    assert outliers.with_stats(docs).where("NOT stats.base_failed").count() == 4
+    assert time.perf_counter() - started < 30
+
+
 def test_no_rows(spark):
     assert outliers.with_verdict(empty_docs(spark)).count() == 0
