@@ -13,7 +13,7 @@ from timeward.operators.assemble import require_columns
 from timeward.operators.calibration import Calibrator
 from timeward.operators.decisions import with_action
 from timeward.plans.models import TreeModel
-from timeward.sources.sinks import append_log
+from timeward.sources.sinks import replace_run
 
 RAW, PROBABILITY = "raw_score", "calibrated_probability"
 
@@ -58,4 +58,5 @@ def prediction_log(
 
 
 def log_predictions(scored: DataFrame, path: str, **stamp) -> None:
-    append_log(prediction_log(scored, **stamp), path)
+    """Logs a run's rows; logging the same run again replaces them."""
+    replace_run(prediction_log(scored, **stamp), path)

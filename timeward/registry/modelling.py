@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from timeward.functions.derive import Derivation
+from timeward.contract.tables import fingerprint, map_lines
+from timeward.functions.derive import Derivation, apply_derivations, frequency_map
 from timeward.names import AMOUNT, ID, LABEL, PRODUCT, SPLIT
 from timeward.operators.calibration import choose_method, fit_calibrator, fold_losses
 from timeward.operators.metrics import noise_summary, ranking_metrics
 from timeward.operators.ordered import seeded_hash
 from timeward.operators.splits import split_table
+from timeward.plans.bundle import Bundle, save_bundle, score_promoted
 from timeward.plans.features import model_input
 from timeward.plans.models import (
     BASELINE_COLUMNS,
@@ -186,8 +188,6 @@ def batch_scoring(spark, folder):
     frame = _frame(spark, folder)
     inputs = TreeInputs((*BASELINE_COLUMNS, "D3n"), (PRODUCT,))
     derivations = [Derivation("D3n", "days_since_to_start_day", ("D3",))]
-    from timeward.functions.derive import apply_derivations
-
     ready = apply_derivations(frame, derivations)
     model = fit_trees(_part(ready, "train"), _part(ready, "val"), inputs, **_SMALL)
     val = materialize(model.score(_part(ready, "val")), "val-scores")
@@ -199,6 +199,66 @@ def batch_scoring(spark, folder):
     return read_log(spark, path).select(ID, "run", "model_run", decided.alias("decided"), "code_version")
 
 
+@query(
+    "k10_stored_bundle",
+    "K10 M9 M10 L10 B14 A15 H5",
+    f"""{splits_cte('orders')}
+SELECT TransactionID, 'run-2' AS model_run, 'scoring-1' AS run, true AS same_score, true AS same_probability,
+  true AS same_action, count(*) OVER () AS logged FROM sp WHERE split = 'test'""",
+)
+def stored_bundle(spark, folder):
+    """Fit, store, promote; then resolve the promoted run, read it by path, score, and log the run twice."""
+    frame = _frame(spark, folder)
+    derivations = (
+        Derivation("D3n", "days_since_to_start_day", ("D3",)),
+        Derivation("device_count", "frequency_encode", ("DeviceInfo",)),
+    )
+    maps = materialize(frequency_map(_part(frame, "train"), ["DeviceInfo"]), "fitted-maps")
+    inputs = TreeInputs((*BASELINE_COLUMNS, "D3n", "device_count"), (PRODUCT,))
+    ready = apply_derivations(frame, derivations, maps)
+    model = fit_trees(_part(ready, "train"), _part(ready, "val"), inputs, **_SMALL)
+    val = materialize(model.score(_part(ready, "val")), "val-scores")
+    calibrator = fit_calibrator(val, "raw_score", "isotonic")
+    contract = _contract_of(spark, inputs)
+    stamp = fingerprint(contract, [r["line"] for r in map_lines(maps).collect()]).first()["fingerprint"]
+    root = scratch_path(spark, "bundles")
+    fitted = Bundle("run-2", model, calibrator, 0.25, stamp, "v1", derivations, maps)
+    save_bundle(fitted, root)
+
+    runs = frame.limit(1).select(F.lit("run-2").alias("run"), F.lit(2).alias("updated_at"))
+    promotions = runs.select("run", F.lit(stamp).alias("fingerprint"), F.col("updated_at").alias("promoted_at"))
+    keep = [ID]
+    bundle, scores = score_promoted(_part(frame, "test"), root, promotions, runs, contract, stamp, keep=keep)
+    log = scratch_path(spark, "prediction-log")
+    for _ in range(2):
+        log_predictions(
+            scores, log, run="scoring-1", model_run=bundle.run, threshold=bundle.threshold, code_version=bundle.code_version
+        )
+    before = fitted.score(_part(frame, "test"), keep=keep).select(
+        ID, *(F.col(c).alias(f"_{c}") for c in ("raw_score", "calibrated_probability", "action"))
+    )
+    logged = read_log(spark, log)
+    total = logged.agg(F.count(F.lit(1)).alias("logged"))
+    return logged.join(before, ID).crossJoin(F.broadcast(total)).select(  # one row
+        ID,
+        "model_run",
+        "run",
+        F.col("raw_score").eqNullSafe(F.col("_raw_score")).alias("same_score"),
+        F.col("calibrated_probability").eqNullSafe(F.col("_calibrated_probability")).alias("same_probability"),
+        (F.col("action") == F.col("_action")).alias("same_action"),
+        "logged",
+    )
+
+
+def _contract_of(spark, inputs):
+    """A contract that admits exactly these features; one row per column."""
+    names = [*inputs.numeric, *inputs.categorical]
+    rows = [(k, c, "request", "number" if c in inputs.numeric else "text", True, None) for k, c in enumerate(names, 1)]
+    return spark.createDataFrame(
+        rows, "position int, column string, source string, dtype string, admitted boolean, rejected_by string"
+    )
+
+
 def _explained(spark, folder):
     frame = _frame(spark, folder)
     model = fit_baseline(_part(frame, "train"))

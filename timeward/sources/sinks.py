@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from timeward.functions.derive import Derivation, apply_derivations
 from timeward.names import ID
 
+# A run's folder is a digest of its name, so that any name makes a folder and no type is guessed from it.
+_RUN_FOLDER = "_run_folder"
+
 
 def write_full(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replaces the table; features and splits are rebuilt whole, never patched."""
@@ -36,9 +39,19 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def replace_run(df: DataFrame, path: str, *, key: str = "run") -> None:
+    """Writes the rows of each run in ``df`` in place of what the log holds of that run; other runs stay.
+
+    A retried run leaves its rows once. Only the folders of the runs at hand are replaced.
+    """
+    rows = df.withColumn(_RUN_FOLDER, F.sha2(F.coalesce(F.col(key).cast("string"), F.lit("")), 256))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(_RUN_FOLDER).parquet(path)
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """All appended rows; columns added by a later append are NULL in earlier rows."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(_RUN_FOLDER)
 
 
 def export_audit_frame(
