@@ -128,3 +128,76 @@ def test_every_file_of_a_folder_must_have_the_pinned_header(spark, tmp_path):
     (folder / "3.csv").write_text("b,a\nx,3\n")
     with pytest.raises(LoadError, match="b is not a"):
         require_header(spark, str(folder), pins)
+
+
+def test_a_refresh_parses_the_source_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from timeward.sources import pinned
+
+    parsed = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def seen(value):
+        parsed.add(1)
+        return True
+
+    real = pinned.read_staging
+    monkeypatch.setattr(pinned, "read_staging", lambda *a: real(*a).where(seen.asNondeterministic()("a")))
+    pins = [Pin("a", "INTEGER"), Pin("b", "FLOAT")]
+    source = write(tmp_path / "s.csv", "a,b", *(f"{k},{k / 2}" for k in range(500)))
+    target, manifest = str(tmp_path / "t"), str(tmp_path / "m")
+    assert refresh(spark, source, target, manifest, pins).first()["status"] == "loaded" and parsed.value == 500
+    assert refresh(spark, source, target, manifest, pins).first()["status"] == "current" and parsed.value == 500
+    assert load_pinned(spark, source, pins).agg(F.sum("a")).first()[0] == sum(range(500)) and parsed.value == 1000
+
+
+def test_a_failed_refresh_leaves_the_old_target(spark, tmp_path):
+    pins = [Pin("TransactionID", "INTEGER"), Pin("isFraud", "INTEGER")]
+    source, target, manifest = tmp_path / "s.csv", str(tmp_path / "t"), str(tmp_path / "m")
+    run = lambda: refresh(spark, str(source), target, manifest, pins).first()
+    write(source, "TransactionID,isFraud", "1,0", "2,1")
+    assert run()["status"] == "loaded"
+    for lines, problem in ((["1,0", "2.5,1", "3.5,1"], r"TransactionID \(2\)"), (["1,0", "2,3"], "1 label")):
+        write(source, "TransactionID,isFraud", *lines)
+        with pytest.raises(LoadError, match=problem):
+            run()
+        assert sorted(map(tuple, spark.read.parquet(target).collect())) == [(1, 0), (2, 1)]
+    write(source, "TransactionID,isFraud", "4,1")
+    assert run()["rows"] == 1
+
+
+def test_a_wrong_header_after_many_others_is_found(spark, tmp_path):
+    pins = [Pin("a", "INTEGER"), Pin("b", "STRING")]
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k in range(30):
+        (folder / f"{k:02d}.csv").write_text(f"a,{' ' * k}b\n1,x\n")
+    require_header(spark, str(folder), pins)
+    for name, header in (("w", "a,z"), ("x", "a,b,"), ("y", "a"), ("z", "a,b,c")):
+        (folder / f"{name}.csv").write_text(f"{header}\n1,x\n")
+        with pytest.raises(LoadError, match="in 1 of 31"):
+            require_header(spark, str(folder), pins)
+        (folder / f"{name}.csv").unlink()
+    empty = tmp_path / "none"
+    empty.mkdir()
+    with pytest.raises(LoadError, match="empty"):
+        require_header(spark, str(empty), pins)
+
+
+def test_proofs_of_written_tables(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from timeward.sources.proof import ProofError, proved_write, require_same_keys
+
+    rows = spark.range(1000).withColumn("v", F.col("id") % 7)
+    proof = proved_write(rows, str(tmp_path / "a"), key="id", counts={"zero": F.col("v") == 0, "none": F.col("v") < 0})
+    assert (proof.rows, proof.counts, proof.found) == (1000, {"zero": 143, "none": 0}, {"zero": 143})
+    again = proved_write(rows.repartition(5), str(tmp_path / "b"), key="id")
+    assert require_same_keys(proof, again, "x") == 1000
+    with pytest.raises(ProofError, match="999 rows"):
+        require_same_keys(proved_write(rows.limit(999), str(tmp_path / "c"), key="id"), again, "x")
+    with pytest.raises(ProofError, match="other keys"):
+        require_same_keys(proved_write(rows.withColumn("id", F.col("id") + 1), str(tmp_path / "d"), key="id"), again, "x")
+    nothing = proved_write(rows.limit(0), str(tmp_path / "e"), key="id", counts={"zero": F.col("v") == 0})
+    assert (nothing.rows, nothing.found) == (0, {})

@@ -23,7 +23,7 @@ from timeward.operators.calibration import Calibrator
 from timeward.plans.gate import require_promoted
 from timeward.plans.models import TreeInputs, TreeModel
 from timeward.plans.scoring import score_rows
-from timeward.session import materialize
+from timeward.session import materialize, path_exists
 
 FORMAT = 1
 _CALIBRATORS = {"isotonic": IsotonicRegressionModel, "platt": LogisticRegressionModel}
@@ -57,11 +57,6 @@ class Bundle:
         )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
 def _lines(maps: DataFrame | None) -> list[str]:
     """One line per mapped column."""
     return [] if maps is None else [r["line"] for r in map_lines(maps).orderBy("line").collect()]
@@ -74,7 +69,7 @@ def bundle_path(root: str, run: str) -> str:
 def save_bundle(bundle: Bundle, root: str) -> str:
     """Stores the bundle under its run's name and returns the path."""
     spark, path = SparkSession.active(), bundle_path(root, bundle.run)
-    if _exists(spark, f"{path}/manifest/_SUCCESS"):
+    if path_exists(spark, f"{path}/manifest/_SUCCESS"):
         raise BundleError(f"{path} holds a complete bundle, which is never overwritten")
     bundle.model.pipeline.write().overwrite().save(f"{path}/pipeline")
     bundle.calibrator.model.write().overwrite().save(f"{path}/calibrator")
@@ -101,7 +96,7 @@ def save_bundle(bundle: Bundle, root: str) -> str:
 
 def load_bundle(spark: SparkSession, path: str) -> Bundle:
     """Fresh objects from a stored bundle, whose parts must be those of its manifest."""
-    if not _exists(spark, f"{path}/manifest/_SUCCESS"):
+    if not path_exists(spark, f"{path}/manifest/_SUCCESS"):
         raise BundleError(f"no complete bundle at {path}")
     stored = json.loads(spark.read.text(f"{path}/manifest").first()["value"])
     if stored["format"] != FORMAT:

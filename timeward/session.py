@@ -59,6 +59,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def swap_in(spark: SparkSession, made: str, path: str) -> None:
+    """Puts the finished folder ``made`` in the place of ``path``."""
+    files, new = _place(spark, made)
+    _, old = _place(spark, path)
+    if files.exists(old):
+        files.delete(old, True)
+    files.mkdirs(old.getParent())
+    if not files.rename(new, old):
+        raise RuntimeError(f"could not put {made} in the place of {path}")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 

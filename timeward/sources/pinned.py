@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from timeward.functions.scalars import boolean_from_text, is_fractional
 from timeward.names import DEVICE, ID, LABEL
+from timeward.session import path_exists, scratch_path, swap_in
+from timeward.sources.proof import Proof, proved_write
 
 
 class LoadError(Exception):
@@ -115,7 +117,10 @@ def require_whole(staged: DataFrame, columns: Sequence[str]) -> None:
     counts = fractional_counts(staged, columns)
     if counts is None:
         return
-    found = {c: n for c, n in counts.first().asDict().items() if n}
+    _raise_fractions({c: n for c, n in counts.first().asDict().items() if n})
+
+
+def _raise_fractions(found: dict[str, int]) -> None:
     if found:
         listed = ", ".join(f"{c} ({n})" for c, n in sorted(found.items()))
         raise LoadError(f"pinned as integers but holding fractions: {listed}")
@@ -123,6 +128,10 @@ def require_whole(staged: DataFrame, columns: Sequence[str]) -> None:
 
 def cast_back(staged: DataFrame, pins: Sequence[Pin]) -> DataFrame:
     """Every pinned column in order, in its pinned type."""
+    return staged.select(*_pinned_columns(pins))
+
+
+def _pinned_columns(pins: Sequence[Pin]) -> list[Column]:
     out = []
     for p in pins:
         if isinstance(p.spark_type, T.LongType):
@@ -131,14 +140,36 @@ def cast_back(staged: DataFrame, pins: Sequence[Pin]) -> DataFrame:
             out.append(boolean_from_text(p.name).alias(p.name))
         else:
             out.append(F.col(p.name))
-    return staged.select(*out)
+    return out
+
+
+def stage_pinned(spark: SparkSession, source: str, pins: Sequence[Pin], path: str, label: str = LABEL) -> Proof:
+    """Parses the source once: cast and written to ``path``, proven on the way.
+
+    Raises when a column pinned as integer holds fractions, or a label is neither 0 nor 1; then nothing
+    but the staged folder is left behind.
+    """
+    staged = read_staging(spark, source, pins)
+    names = {p.name for p in pins}
+    counts = {c: is_fractional(c) for c in integer_columns(pins)}
+    labels = "invalid labels"
+    if label in names:
+        counts[labels] = _is_invalid(label)
+    key = ID if ID in names else pins[0].name
+    proof = proved_write(staged, path, key=key, counts=counts, out=_pinned_columns(pins))
+    found = proof.found
+    wrong = found.pop(labels, 0)
+    _raise_fractions(found)
+    if wrong:
+        raise LoadError(f"{wrong} label(s) other than 0 and 1")
+    return proof
 
 
 def load_pinned(spark: SparkSession, path: str, pins: Sequence[Pin]) -> DataFrame:
-    """Read, prove, cast."""
-    staged = read_staging(spark, path, pins)
-    require_whole(staged, integer_columns(pins))
-    return cast_back(staged, pins)
+    """Read, prove, cast: one parse, after which the typed table is read from the shared folder."""
+    staged = scratch_path(spark, "staged")
+    stage_pinned(spark, path, pins, staged)
+    return spark.read.schema(T.StructType([T.StructField(p.name, p.spark_type) for p in pins])).parquet(staged)
 
 
 def load_typed(spark: SparkSession, path: str, pins: Sequence[Pin]) -> DataFrame:
@@ -159,22 +190,30 @@ def load_inferred(spark: SparkSession, path: str) -> DataFrame:
 # ---- checks on the file ----------------------------------------------------------------------
 
 
-def headers_of(spark: SparkSession, path: str, most: int = 20) -> list[list[str]]:
-    """The different headers among the files at ``path``, up to ``most``; a sound folder has one."""
+def header_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, header``: the first line of each file at ``path``."""
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
     )
     # A file's first line is the first one read from its start.
-    firsts = (
+    return (
         lines.where("start = 0")
         .withColumn("place", F.monotonically_increasing_id())
         .groupBy("file")
         .agg(F.min_by("value", "place").alias("header"))
     )
-    found = [r["header"] for r in firsts.select("header").distinct().orderBy("header").limit(most).collect()]
-    if not found:
-        raise LoadError(f"{path} is empty")
-    return [[name.strip() for name in next(csv.reader([line], skipinitialspace=True), [])] for line in found]
+
+
+def _differs(header: Column, pins: Sequence[Pin]) -> Column:
+    """Does a header line name anything else than the pins, position by position?"""
+    columns = ", ".join([f"c{k} string" for k in range(len(pins))] + ["other string"])
+    # A line of more or fewer names than pins is kept whole, in ``other``.
+    reading = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "columnNameOfCorruptRecord": "other"}
+    parsed = F.from_csv(header, columns, reading)
+    same = parsed["other"].isNull()
+    for k, p in enumerate(pins):
+        same &= F.coalesce(F.translate(parsed[f"c{k}"], "-", "_") == p.name, F.lit(False))
+    return ~same
 
 
 def header_mismatches(header: Sequence[str], pins: Sequence[Pin]) -> list[str]:
@@ -190,10 +229,19 @@ def header_mismatches(header: Sequence[str], pins: Sequence[Pin]) -> list[str]:
 
 
 def require_header(spark: SparkSession, path: str, pins: Sequence[Pin]) -> None:
-    """Raises if any file at ``path`` has another header than the pins name, position by position."""
-    for header in headers_of(spark, path):
-        if wrong := header_mismatches(header, pins):
-            raise LoadError(f"{path}: {'; '.join(wrong)}")
+    """Raises if any file at ``path`` has another header than the pins name, position by position.
+
+    Every file's header is compared in the job; the counts and one wrong header come back.
+    """
+    wrong = F.when(_differs(F.col("header"), pins), F.col("header"))
+    found = header_lines(spark, path).agg(
+        F.count(F.lit(1)).alias("files"), F.count(wrong).alias("wrong"), F.min(wrong).alias("header")
+    ).first()
+    if not found["files"]:
+        raise LoadError(f"{path} is empty")
+    if found["wrong"]:
+        header = [name.strip() for name in next(csv.reader([found["header"]], skipinitialspace=True), [])]
+        raise LoadError(f"{path}: in {found['wrong']} of {found['files']} file(s), {'; '.join(header_mismatches(header, pins))}")
 
 
 def _is_invalid(label: str) -> Column:
@@ -256,10 +304,11 @@ def schema_matches(schema: T.StructType, pins: Sequence[Pin]) -> bool:
     return all(p.name in live and live[p.name] == p.spark_type for p in pins)
 
 
-def record_load(target: DataFrame, manifest: str, fingerprint: str) -> None:
-    target.agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit(fingerprint).alias("fingerprint"), "rows", F.current_timestamp().alias("loaded_at")
-    ).write.mode("append").parquet(manifest)
+def record_load(spark: SparkSession, manifest: str, fingerprint: str, rows: int) -> None:
+    stamped = spark.range(1).select(
+        F.lit(fingerprint).alias("fingerprint"), F.lit(rows).cast("bigint").alias("rows"), F.current_timestamp().alias("loaded_at")
+    )
+    stamped.write.mode("append").parquet(manifest)
 
 
 def is_current(
@@ -268,34 +317,40 @@ def is_current(
     manifest: str,
     fingerprint: str,
     pins: Sequence[Pin],
-    expected_rows: int,
+    expected_rows: int | None = None,
 ) -> bool:
-    """Does the target exist with the pinned types, the expected rows and the same source?"""
-    try:
-        live = spark.read.parquet(target)
-        last = spark.read.parquet(manifest).agg(F.max_by("fingerprint", "loaded_at").alias("f"))
-    except Exception as error:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return False
-        raise
-    return (
-        schema_matches(live.schema, pins)
-        and last.first()["f"] == fingerprint
-        and live.count() == expected_rows
-    )
+    """Does the target exist with the pinned types, the same source, and the expected rows?
+
+    Those are the rows of the last load where none are given: the source is the same, so it has no others.
+    """
+    if not (path_exists(spark, target) and path_exists(spark, manifest)):
+        return False
+    live = spark.read.parquet(target)
+    if not schema_matches(live.schema, pins):
+        return False
+    last = spark.read.parquet(manifest).agg(F.max_by(F.struct("fingerprint", "rows"), "loaded_at").alias("l")).first()["l"]
+    if last is None or last["fingerprint"] != fingerprint:
+        return False
+    return live.count() == (last["rows"] if expected_rows is None else expected_rows)
 
 
 def refresh(
     spark: SparkSession, source: str, target: str, manifest: str, pins: Sequence[Pin]
 ) -> DataFrame:
-    """Loads the source unless the target is already current; returns the load summary."""
+    """Loads the source unless the target is already current; returns the load summary.
+
+    A current target costs a listing and a count from footers, a load one parse. The old target stays until
+    the new one is proven.
+    """
     fingerprint = source_fingerprint(spark, source)
-    expected = read_staging(spark, source, pins).count()
     status = "current"
-    if not is_current(spark, target, manifest, fingerprint, pins, expected):
+    if not is_current(spark, target, manifest, fingerprint, pins):
         status = "loaded"
-        load_pinned(spark, source, pins).write.mode("overwrite").parquet(target)
-        record_load(spark.read.parquet(target), manifest, fingerprint)
+        staged = f"{target.rstrip('/')}-staged-{fingerprint[:16]}"
+        proof = stage_pinned(spark, source, pins, staged)
+        swap_in(spark, staged, target)
+        record_load(spark, manifest, fingerprint, proof.rows)
+    spark.catalog.refreshByPath(target)
     table = spark.read.parquet(target)
     return table.agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit(status).alias("status"),
