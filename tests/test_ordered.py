@@ -83,3 +83,61 @@ def test_groups_on_other_scales_are_cut_alike(spark):
     )
     sizes = [r["count"] for r in ordered.with_range_by(df, "x", ["g"]).groupBy("g", "_range").count().collect()]
     assert len(sizes) >= 30 and max(sizes) < 2_500
+
+
+_ROUTES = [None, [], [0.0], [-3.0, -2.9, 0.5, 2.0, 9.0]]
+
+
+@pytest.mark.parametrize("edges", _ROUTES)
+@pytest.mark.parametrize("descending", [False, True])
+def test_totals_as_of_points(spark, descending, edges):
+    import random
+
+    from timeward.operators.ordered import totals_as_of
+
+    r = random.Random(3)
+    records = [(r.randrange(-40, 40) / 10, r.randrange(5)) for _ in range(60)] + [(None, 7), (float("nan"), 11)]
+    points = [-9.0, -4.0, -1.25, 0.0, 0.5, 0.5, 2.0, 3.9, 4.0, 50.0, None] + [records[k][0] for k in range(9)]
+    made = spark.createDataFrame(records, "x double, n long")
+    asked = spark.createDataFrame([(p,) for p in points], "at double")
+    found = {x["at"]: (x["cum_n"], x["all_n"]) for x in totals_as_of(made, asked, "x", ["n"], descending=descending, edges=edges).collect()}
+    known = [(x, n) for x, n in records if x is not None]
+    above = lambda x, p: x != x or x >= p
+    below = lambda x, p: x == x and x <= p
+    expected = {p: sum(n for x, n in known if (above if descending else below)(x, p)) for p in points if p is not None}
+    assert found == {p: (n, sum(n for _, n in known)) for p, n in expected.items()}
+
+
+@pytest.mark.parametrize("edges", _ROUTES)
+@pytest.mark.parametrize("descending", [False, True])
+def test_neighbours_across_ranges(spark, descending, edges):
+    from timeward.operators.ordered import with_next
+
+    values = [-7.5, -3.0, -2.95, -2.9, 0.0, 0.25, 0.5, 3.0, 20.0, 21.0]
+    made = spark.createDataFrame([(x, k, None if k % 3 else "s") for k, x in enumerate(values)], "x double, k long, s string")
+    found = {r["x"]: r["after"] for r in with_next(made, "x", ["k", "s"], "after", descending=descending, edges=edges).collect()}
+    order = sorted(values, reverse=descending)
+    following = dict(zip(order, order[1:]))
+    for x in values:
+        k = values.index(following[x]) if x in following else None
+        assert (found[x] and tuple(found[x])) == (None if k is None else (k, None if k % 3 else "s"))
+
+
+def test_roc_points_and_thresholds_alike_on_both_routes(spark):
+    from pyspark.sql import functions as F
+
+    from timeward.operators.metrics import curve_at, roc_points, score_curve
+
+    rows = spark.range(3000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(997)) / 997).alias("p"), (F.col("id") % 9 == 0).cast("int").alias("isFraud"), (F.col("id") % 50).cast("double").alias("TransactionAmt")
+    )
+    curve = score_curve(rows, "p", amount="TransactionAmt").cache()
+    points = spark.range(40).select((F.col("id") / 37 - 0.02).alias("threshold"))
+    shown = lambda df: sorted(map(tuple, df.collect()))
+    edges = [0.1, 0.101, 0.5, 0.9]
+    assert shown(roc_points(curve, "p", most=60)) == shown(roc_points(curve, "p", most=60, edges=edges))
+    assert shown(roc_points(curve, "p", most=5000)) == shown(roc_points(curve, "p", most=5000, edges=edges))
+    whole = shown(curve_at(curve, points, "p"))
+    assert whole == shown(curve_at(curve, points, "p", edges=edges)) and len(whole) == 40
+    plan = curve_at(curve, points, "p")._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -14,7 +14,16 @@ from pyspark.sql import functions as F
 
 from timeward.functions.scalars import clipped
 from timeward.names import AMOUNT, LABEL, PRODUCT
-from timeward.operators.ordered import accumulate, cut_points, exact_quantiles, running_totals
+from timeward.operators.ordered import (
+    accumulate,
+    cut_points,
+    exact_quantiles,
+    quantiles_of,
+    running_totals,
+    totals_as_of,
+    with_next,
+)
+from timeward.session import materialize
 
 # The grid size, the flat cost of a blocked legitimate row, the allowed share of
 # blocked legitimate rows, and the smallest segment worth a number.
@@ -156,53 +165,43 @@ def evaluate_thresholds(
 
 
 def curve_at(
-    curve: DataFrame, thresholds: DataFrame, score: str, *, flat: float = FALSE_POSITIVE_COST
+    curve: DataFrame,
+    thresholds: DataFrame,
+    score: str,
+    *,
+    flat: float = FALSE_POSITIVE_COST,
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
-    """As :func:`evaluate_thresholds`, from an existing curve.
+    """As :func:`evaluate_thresholds`, from an existing curve: one merge of the two orders, for any number of thresholds.
 
-    Each score record is filed under the highest threshold it reaches; a running total over the
-    thresholds, of which there are a few hundred, then gives what lies at or above each.
+    ``edges`` forces ranges; without them they follow from the counted records.
     """
-    listed = thresholds.select(F.col("threshold").cast("double")).distinct().agg(
-        F.sort_array(F.collect_list("threshold")).alias("_grid")
-    )
-    totals = {
-        n: F.max(f"all_{n}").alias(f"_all_{n}") for n in ("pos", "neg", "lost")
-    }
-    reached = F.size(F.filter(F.col("_grid"), lambda t: t <= F.col(score)))
-    filed = (
-        curve.crossJoin(F.broadcast(listed))  # one row
-        .groupBy(reached.alias("_reached"))
-        .agg(
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-            F.sum("lost").alias("lost"),
-            *totals.values(),
-        )
-    )
-    summed = listed.select(F.posexplode("_grid").alias("_i", "threshold")).join(
-        filed, F.col("_reached") > F.col("_i"), "left"
-    ).groupBy("_i", "threshold").agg(
-        F.coalesce(F.sum("pos"), F.lit(0)).alias("caught"),
-        F.coalesce(F.sum("neg"), F.lit(0)).alias("false_alarms"),
-        F.coalesce(F.sum("lost"), F.lit(0.0)).alias("amount_caught"),
+    points = thresholds.select(F.col("threshold").cast("double").alias("threshold"))
+    merged = totals_as_of(curve, points, score, ["pos", "neg", "lost"], descending=True, edges=edges)
+    summed = merged.select(
+        "threshold",
+        F.col("cum_pos").alias("caught"),
+        F.col("cum_neg").alias("false_alarms"),
+        F.col("cum_lost").cast("double").alias("amount_caught"),
+        "all_pos",
+        "all_neg",
+        "all_lost",
     )
-    overall = filed.agg(*[F.max(f"_all_{n}").alias(f"_all_{n}") for n in totals])
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     blocked = F.col("caught") + F.col("false_alarms")
-    return summed.crossJoin(F.broadcast(overall)).select(  # one row
+    return summed.select(
         "threshold",
-        ratio(F.col("false_alarms"), F.col("_all_neg")).alias("false_positive_rate"),
-        ratio(F.col("caught"), F.col("_all_pos")).alias("true_positive_rate"),
+        ratio(F.col("false_alarms"), F.col("all_neg")).alias("false_positive_rate"),
+        ratio(F.col("caught"), F.col("all_pos")).alias("true_positive_rate"),
         ratio(F.col("caught"), blocked).alias("precision"),
         blocked.alias("blocked"),
         "caught",
-        (F.col("_all_pos") - F.col("caught")).alias("missed"),
+        (F.col("all_pos") - F.col("caught")).alias("missed"),
         "false_alarms",
-        (F.col("_all_lost") - F.col("amount_caught") + F.col("false_alarms") * F.lit(flat)).alias(
+        (F.col("all_lost") - F.col("amount_caught") + F.col("false_alarms") * F.lit(flat)).alias(
             "total_cost"
         ),
-        (F.col("_all_lost") - F.col("amount_caught")).alias("amount_missed"),
+        (F.col("all_lost") - F.col("amount_caught")).alias("amount_missed"),
         "amount_caught",
     )
 
@@ -228,10 +227,29 @@ def budget_threshold(curve: DataFrame, score: str, *, budget: float = FALSE_POSI
     return float(found)
 
 
+def _grid_of(quantiles: DataFrame) -> DataFrame:
+    return quantiles.select(F.col("value").alias("threshold")).distinct()
+
+
+def _even(candidates: int) -> list[float]:
+    return [i / (candidates - 1) for i in range(candidates)]
+
+
 def cost_grid(scored: DataFrame, score: str, *, candidates: int = COST_CANDIDATES) -> DataFrame:
     """Distinct exact quantiles of the score on an even grid, as ``threshold``."""
-    fractions = [i / (candidates - 1) for i in range(candidates)]
-    return exact_quantiles(scored, score, fractions).select(F.col("value").alias("threshold")).distinct()
+    return _grid_of(exact_quantiles(scored, score, _even(candidates)))
+
+
+def cost_grid_of(curve: DataFrame, score: str, *, candidates: int = COST_CANDIDATES) -> DataFrame:
+    """The same grid from a curve, which already counts the rows of each score."""
+    counted = curve.select(
+        score,
+        (F.col("pos") + F.col("neg")).alias("n"),
+        (F.col("all_pos") + F.col("all_neg")).alias("all_n"),
+        # The curve runs downwards, quantiles run upwards.
+        (F.col("all_pos") + F.col("all_neg") - F.col("cum_pos") - F.col("cum_neg") + F.col("pos") + F.col("neg")).alias("cum_n"),
+    )
+    return _grid_of(quantiles_of(counted, score, _even(candidates)))
 
 
 def cost_curve(
@@ -244,13 +262,16 @@ def cost_curve(
     candidates: int = COST_CANDIDATES,
     flat: float = FALSE_POSITIVE_COST,
 ) -> DataFrame:
-    """(threshold, total_cost) on the grid plus any ``extra`` thresholds."""
-    grid = cost_grid(scored, score, candidates=candidates)
+    """(threshold, total_cost) on the grid plus any ``extra`` thresholds.
+
+    The scored rows are reduced to a curve once; the grid and the costs both come from it.
+    """
+    curve = materialize(score_curve(scored, score, label, amount=amount), "curve")
+    grid = cost_grid_of(curve, score, candidates=candidates)
     if extra:
         points = F.explode(F.array(*[F.lit(float(t)) for t in extra])).alias("threshold")
         grid = grid.union(grid.limit(1).select(points)).distinct()
-    found = evaluate_thresholds(scored, grid, score, label, amount, flat=flat)
-    return found.select("threshold", "total_cost")
+    return curve_at(curve, grid, score, flat=flat).select("threshold", "total_cost")
 
 
 def cheapest_threshold(costs: DataFrame) -> DataFrame:
@@ -351,24 +372,21 @@ def numbered(curve: DataFrame, score: str, edges: Sequence[float] | None = None)
     ).drop("_one", "cum__one", "all__one")
 
 
-def roc_points(curve: DataFrame, score: str, *, most: int = 200) -> DataFrame:
+def roc_points(
+    curve: DataFrame, score: str, *, most: int = 200, edges: Sequence[float] | None = None
+) -> DataFrame:
     """(position, false_positive_rate, true_positive_rate, threshold), at most ``most`` points.
 
     Only corners of the curve are kept, the origin leads, the picks are evenly spaced by position
-    and thresholds are clipped to [0, 1].
+    and thresholds are clipped to [0, 1]. ``edges`` forces ranges.
     """
-    edges = cut_points(curve, score)
-    placed = numbered(curve, score, edges)
-    following = placed.select(
-        (F.col("position") - 1).alias("_at"), F.col("pos").alias("_pos"), F.col("neg").alias("_neg")
-    )
-    corner = (
-        (F.col("position") == 0)
-        | F.col("_at").isNull()
-        | (F.col("pos") != F.col("_pos"))
-        | (F.col("neg") != F.col("_neg"))
-    )
-    corners = placed.join(following, F.col("position") == F.col("_at"), "left").where(corner)
+    if edges is None:
+        curve = materialize(curve, "curve")
+        edges = cut_points(curve, score)
+    placed = with_next(curve, score, ["pos", "neg"], "_next", descending=True, edges=edges)
+    first = F.col("cum_pos") + F.col("cum_neg") == F.col("pos") + F.col("neg")
+    corner = first | F.col("_next").isNull() | (F.struct("pos", "neg") != F.col("_next"))
+    corners = placed.where(corner)
     kept = numbered(corners.select(score, "cum_pos", "cum_neg", "all_pos", "all_neg"), score, edges)
     origin = kept.where(F.col("position") == 0).select(
         F.lit(0).cast("bigint").alias("position"),

@@ -14,6 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from timeward.session import materialize
+
 # Up to this many records, one sorted task beats ranges and a join.
 WHOLE_BELOW = 100_000
 # Records that one task sorts once the axis is cut.
@@ -29,8 +31,9 @@ def ranges_for(records: int) -> int:
 
 
 def _more_than_one_task(values: DataFrame) -> int:
-    """The number of records, or 0 if they fit one task; looks no further than needed for that."""
-    return 0 if values.limit(WHOLE_BELOW + 1).count() <= WHOLE_BELOW else values.count()
+    """The number of records, or 0 if they fit one task. Of a written table only footers are read."""
+    records = values.count()
+    return 0 if records <= WHOLE_BELOW else records
 
 
 def cut_points(values: DataFrame, column: str, ranges: int | None = None) -> list[float]:
@@ -109,6 +112,9 @@ def running_totals(
         .groupBy(*by, order)
         .agg(*[c.alias(n) for n, c in sums.items()])
     )
+    if edges is None:
+        # Counting, cutting and adding up read the records, not the rows that they were reduced from.
+        values = materialize(values, "records")
     return accumulate(
         values, order, list(sums), by=by, descending=descending, ranges=ranges, edges=edges
     )
@@ -183,16 +189,78 @@ def _accumulate_ranges(
     ).drop("_range", *[f"_o_{n}" for n in names])
 
 
+def totals_as_of(
+    records: DataFrame,
+    points: DataFrame,
+    order: str,
+    names: Sequence[str],
+    *,
+    descending: bool = False,
+    edges: Sequence[float] | None = None,
+) -> DataFrame:
+    """An as-of merge: each distinct value of ``points``' only column, with ``cum_`` sums over the records up to and
+    including it (``descending``: from it on) and ``all_`` sums.
+
+    Both sides are laid into one order and totals run along it, across ranges where there are many: any number of
+    records meets any number of points without being compared to them. NULLs drop out; NaN is the largest value.
+    """
+    here = points.select(F.col(points.columns[0]).cast("double").alias("_at"), *[F.lit(0).alias(n) for n in names], F.lit(True).alias("_point"))
+    there = records.select(F.col(order).cast("double").alias("_at"), *names, F.lit(False).alias("_point"))
+    both = (
+        there.unionByName(here)
+        .where(F.col("_at").isNotNull())
+        .groupBy("_at")
+        .agg(*[F.sum(n).alias(n) for n in names], F.bool_or("_point").alias("_point"))
+    )
+    if edges is None:
+        both = materialize(both, "merged")
+    merged = accumulate(both, "_at", names, descending=descending, edges=edges)
+    return merged.where("_point").select(
+        F.col("_at").alias(points.columns[0]), *[f"cum_{n}" for n in names], *[f"all_{n}" for n in names]
+    )
+
+
+def with_next(
+    values: DataFrame, order: str, columns: Sequence[str], output: str, *, descending: bool = False, edges: Sequence[float] | None = None
+) -> DataFrame:
+    """Adds ``output``, a struct of the ``columns`` of the next record in the order; NULL for the last one.
+
+    ``values`` holds one record per value. Inside a range the neighbour is the next row; the first record of each range
+    is handed to the last one of the range before it, whatever ranges between them are empty.
+    """
+    along = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    held = F.struct(*columns)
+    if edges is None:
+        edges = cut_points(values, order)
+    if not edges:
+        return values.withColumn(output, F.lead(held).over(Window.partitionBy(F.lit(0)).orderBy(along(order))))
+    placed = with_range(values, order, edges)
+    inside = F.lead(held).over(Window.partitionBy("_range").orderBy(along(order)))
+    first = F.max_by(held, order) if descending else F.min_by(held, order)
+    # One record per range from here to the join.
+    handed = placed.groupBy("_range").agg(first.alias("_first")).select(
+        F.col("_range").alias("_to"), F.lead("_first").over(Window.partitionBy(F.lit(0)).orderBy(along("_range"))).alias("_handed")
+    )
+    joined = placed.withColumn(output, inside).join(F.broadcast(handed), F.col("_range") == F.col("_to"))
+    return joined.withColumn(output, F.coalesce(output, "_handed")).drop("_range", "_to", "_handed")
+
+
 def exact_quantiles(
     rows: DataFrame, column: str, fractions: Sequence[float], *, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles: ``by``, ``fraction_index``, ``fraction``, ``value``.
+    """Exact linearly interpolated quantiles: ``by``, ``fraction_index``, ``fraction``, ``value``."""
+    counted = running_totals(rows, column, {"n": F.count(F.lit(1))}, by=by)
+    return quantiles_of(counted, column, fractions, by=by)
+
 
-    Counts per distinct value, running counts, then each value picks the ranks that land on it,
-    so no task holds a table of values.
+def quantiles_of(
+    counted: DataFrame, column: str, fractions: Sequence[float], *, by: Sequence[str] = ()
+) -> DataFrame:
+    """As :func:`exact_quantiles`, of records with ``n``, ``cum_n`` and ``all_n`` in ascending order.
+
+    Each value picks the ranks that land on it, so no task holds a table of values.
     """
     by = list(by)
-    counted = running_totals(rows, column, {"n": F.count(F.lit(1))}, by=by)
     wanted = F.array(
         *[
             F.struct(F.lit(i).alias("fraction_index"), F.lit(float(q)).alias("fraction"))
