@@ -64,10 +64,57 @@ def test_cost_is_the_least_over_all_segmentations():
             best = min(best, total)
         return best
 
-    for value in ("love2024", "qwe11aa", "Dog-cat", "a1a1a1", "zxcvbnmT", "12345x"):
+    for value in ("aaaaaaaa", "xxababab", "qwqwqwqa", "qwertaaa", "ab12ab12", "gotomaxi", "aXaXaXb", "love2024", "qwe11aa", "Dog-cat", "a1a1a1", "zxcvbnmT", "12345x"):
         assert scan.guess_cost(value) == pytest.approx(brute(value))
 
 
+def test_cost_of_random_values_is_the_least_over_all_cuts():
+    """The same by a quadratic program over all pieces by definition."""
+    import math
+    import random
+
+    def plain(value):
+        pieces = {}
+        for i, j, c in scan._pieces(value):
+            pieces[i, j] = min(c, pieces.get((i, j), math.inf))
+        single, n = math.log10(scan._spread(value)), len(value)
+        best = [0.0] + [math.inf] * n
+        for j in range(1, n + 1):
+            for i in range(j):
+                kinds = {scan._class(c) for c in value[i:j]}
+                each = min(single, scan._CLASS_COST[kinds.pop()]) if len(kinds) == 1 else single
+                best[j] = min(best[j], best[i] + min((j - i) * each, pieces.get((i, j), math.inf)) + (scan._CUT if i else 0))
+        return best[n]
+
+    r = random.Random(4)
+    for alphabet in ("ab", "aab1", "qwer", "xyzA19", "qwertyasd20", "passwordlove2019"):
+        for _ in range(60):
+            value = "".join(r.choice(alphabet) * r.choice((1, 1, 1, 4)) for _ in range(r.randrange(1, 25)))
+            assert scan.guess_cost(value) == pytest.approx(plain(value)), value
+            for enough in (3.0, 8.0):
+                assert (scan.guess_cost(value, enough) >= enough) == (plain(value) >= enough - 1e-9), value
+
+
+def test_values_are_costed_whole():
+    hidden = "x" * 64 + "Zx9#kQ81vR" + "x" * 64
+    assert scan.guess_cost(hidden) >= scan.guess_cost("Zx9#kQ81vR")
+    assert [s[1] for s in scan.find(f"password is '{hidden}'")] == [3]
+    assert [s[1] for s in scan.find(f"passphrase is '{'x' * 5000}'")] == []
+    import time
+
+    began = time.perf_counter()
+    scan.find("passphrase is " + "x" * 200_000)
+    scan.find("passphrase is " + "qw" * 100_000)
+    scan.find("passphrase is " + "Zx9#kQ81vR" * 20_000)
+    assert time.perf_counter() - began < 20
+
+
+@pytest.mark.parametrize("word", ["documentation", "cooperation", "authentication", "Required", "OPTIONAL", "sicherheit", "necesario"])
+def test_prose_after_a_credential_name_is_no_secret(word):
+    for text in (f"password is {word}", f"a secret is {word}, they said", f"The token is {word}."):
+        assert [s for s in scan.find(text) if s[1] == 3] == []
+
+
 def test_context_values_are_costed():
     kinds = lambda t: [scan.KINDS[k] for _, k, _ in scan.find(t)]
     assert kinds("the passphrase is t&Kp2!vX9q") == ["guess"]

@@ -54,10 +54,14 @@ WORDS = (
     "private", "enter", "forgot", "wrong", "right", "strong", "weak", "long", "short", "please",
 )
 _RANK = {w: i + 1 for i, w in enumerate(WORDS)}
+# A lone run of letters in one case that can be spoken is an unlisted word, of a million.
+_UNLISTED, _UNLISTED_COST = range(4, 19), 6.0
+_SPOKEN = re.compile(r"(?=.*[aeiouy])(?!.*[^aeiouy]{5})(?!.*[aeiouy]{4})[a-z]+")
+_LETTERS = re.compile(r"[A-Za-z]+")
 _LONGEST_WORD = max(map(len, WORDS))
-# A value is costed over its first and last characters alike up to this length; every further
-# character only adds to the cost, so longer ones are reported without the program's quadratic work.
-_COSTED = 64
+# No word or date is longer; all other spans are open ended.
+_BOUNDED = max(_LONGEST_WORD, _UNLISTED[-1], 10)
+_CUT = 0.3  # a further piece costs a factor for its place, so that cutting finely does not pay
 _DATE = re.compile(r"(?:19|20)\d\d(?:([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?")
 _NEXT = {(a, b) for row in ROWS for a, b in zip(row, row[1:])}
 _NEXT |= {(b, a) for a, b in _NEXT}
@@ -79,58 +83,140 @@ def _class(c: str) -> str:
     return "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else ""
 
 
-def _pieces(value: str):
-    """Spans with a pattern: start, end, log10 of guesses."""
-    low = value.lower()
-    n = len(value)
-    for i in range(n):
-        for j in range(i + 3, min(n, i + _LONGEST_WORD) + 1):
+def _words_and_dates(value: str, low: str):
+    """Spans of bounded length with a pattern: start, end, log10 of guesses."""
+    for i in range(len(value)):
+        for j in range(i + 3, min(len(value), i + _LONGEST_WORD) + 1):
             if rank := _RANK.get(low[i:j]):
                 yield i, j, math.log10(rank * (1 if value[i:j] in (low[i:j], low[i:j].title()) else 2))
-        if date := _DATE.match(value, i):
+        if value[i] in "12" and (date := _DATE.match(value, i)):
             yield i, date.end(), math.log10(200 if date.end() - i == 4 else 200 * 372)
+    for letters in _LETTERS.finditer(value):
+        text = letters[0]
+        one_case = text.islower() or text.isupper() or text.istitle()
+        if one_case and len(text) in _UNLISTED and _SPOKEN.fullmatch(text.lower()):
+            yield letters.start(), letters.end(), _UNLISTED_COST
+
+
+def _low(value: str) -> str:
+    low = value.lower()
+    return low if len(low) == len(value) else value
+
+
+def _walk_cost(length: int) -> float:
+    return math.log10(40 * 2 * length)
+
+
+def _unit_cost(unit: str) -> float:
+    return len(unit) * math.log10(_spread(unit))
+
+
+def _pieces(value: str):
+    """All spans with a pattern, by definition; ``guess_cost`` takes the open-ended ones as they grow."""
+    low, n = _low(value), len(value)
+    yield from _words_and_dates(value, low)
+    for i in range(n):
         j = i + 1
         while j < n and (low[j - 1], low[j]) in _NEXT:
             j += 1
             if j - i >= 3:
-                yield i, j, math.log10(40 * 2 * (j - i))
+                yield i, j, _walk_cost(j - i)
         for unit in range(1, 5):
             j = i + unit
             while value[j : j + unit] == value[i : i + unit] and j + unit <= n:
                 j += unit
                 if j - i >= 3:
-                    yield i, j, unit * math.log10(_spread(value[i : i + unit])) + math.log10((j - i) // unit)
+                    yield i, j, _unit_cost(value[i : i + unit]) + math.log10((j - i) // unit)
+
+
+class _Growing:
+    """Starts of a span that grows: cost before it and of its pattern, and the start.
+
+    What a span costs grows with the logarithm of its length, the same for all, so the lead of an
+    earlier start over a later one never shrinks: a start that is not the best of all earlier ones is dropped.
+    """
+
+    def __init__(self):
+        self.starts: list[tuple[float, int]] = []
+
+    def best(self, end: int, cost) -> float:
+        least, kept = math.inf, []
+        for base, start in self.starts:
+            total = base + cost(end - start)
+            if total < least:
+                least = total
+                kept.append((base, start))
+        self.starts = kept
+        return least
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, enough: float = math.inf) -> float:
     """Least log10 of guesses over all segmentations of ``value``; 0 for an empty one.
 
-    A further piece costs a factor for its place, so that cutting finely does not pay.
+    Every character is read once: brute-force spans, repeats and walks are extended as they grow, whatever
+    their length. From ``enough`` on, a lower bound of the cost may be returned.
     """
-    if len(value) > _COSTED:
-        tail = value[-_COSTED:]
-        return max(guess_cost(value[:_COSTED]), guess_cost(tail))
-    n, single = len(value), math.log10(_spread(value))
-    alike = list(range(1, n + 1))  # where the run of one character class that starts here ends
-    for i in range(n - 2, -1, -1):
-        if _class(value[i]) == _class(value[i + 1]):
-            alike[i] = alike[i + 1]
-    best = [0.0] + [math.inf] * n
+    n, low = len(value), _low(value)
+    if not n:
+        return 0.0
+    single = math.log10(_spread(value))
     ends: dict[int, list] = {}
-    for i, j, cost in _pieces(value):
+    for i, j, cost in _words_and_dates(value, low):
         ends.setdefault(j, []).append((i, cost))
+    best = [0.0] + [math.inf] * n
+    enter = lambda i: best[i] + (_CUT if i else 0.0)
+    mixed = alike = math.inf  # open brute-force spans: of any characters, of one class
+    walk, walked = _Growing(), 0
+    repeats = {unit: [_Growing() for _ in range(unit)] for unit in range(1, 5)}
+    repeated = dict.fromkeys(repeats, 0)
+    last = None
     for j in range(1, n + 1):
-        for i in range(j):
-            each = min(single, _CLASS_COST[_class(value[i])]) if alike[i] >= j else single
-            best[j] = min(best[j], best[i] + (j - i) * each + (0.3 if i else 0.0))
+        kind = _class(value[j - 1])
+        mixed = min(mixed, enter(j - 1)) + single
+        alike = (min(alike, enter(j - 1)) if kind == last else enter(j - 1)) + min(single, _CLASS_COST[kind])
+        last = kind
+        found = min(mixed, alike)
         for i, cost in ends.get(j, ()):
-            best[j] = min(best[j], best[i] + cost + (0.3 if i else 0.0))
+            found = min(found, enter(i) + cost)
+        walked = walked + 1 if j > 1 and (low[j - 2], low[j - 1]) in _NEXT else 0
+        if walked >= 2:
+            walk.starts.append((enter(j - 3), j - 3))
+            found = min(found, walk.best(j, _walk_cost))
+        else:
+            walk.starts.clear()
+        open_ = [base for base, _ in walk.starts]
+        for unit, grown in repeats.items():
+            if j > unit and value[j - 1] == value[j - 1 - unit]:
+                repeated[unit] += 1
+                at = j - max(3, 2 * unit)
+                if repeated[unit] >= j - at - unit:
+                    place = grown[j % unit]
+                    place.starts.append((enter(at) + _unit_cost(value[at : at + unit]), at))
+                    found = min(found, place.best(j, lambda length: math.log10(length // unit)))
+                open_ += [base for place in grown for base, _ in place.starts]
+            else:
+                repeated[unit] = 0
+                for place in grown:
+                    place.starts.clear()
+        best[j] = found
+        # What covers this place starts shortly before it, or is open now.
+        if enough < math.inf and found >= enough:
+            least = min(mixed, alike, *best[max(0, j - _BOUNDED) : j + 1], *open_)
+            if least >= enough:
+                return least
     return best[n]
 
 
+_SHORT = 256  # characters of a value whose verdict is remembered
+
+
 @lru_cache(maxsize=4096)
+def _remembered(value: str, threshold: float) -> bool:
+    return guess_cost(value, threshold) >= threshold
+
+
 def _guessed(value: str, threshold: float) -> bool:
-    return guess_cost(value) >= threshold
+    return _remembered(value, threshold) if len(value) <= _SHORT else guess_cost(value, threshold) >= threshold
 
 
 def find(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, int]]:
@@ -167,7 +253,7 @@ def with_secrets(
     """Adds the spans of secrets in ``text``: kind, start and end in code points.
 
     They come in the order of start and kind; the same place may carry several kinds. A null or
-    empty text has none. A column named ``out`` is replaced, all others stay.
+    empty text has none. Values are costed whole, however long. A column named ``out`` is replaced, all others stay.
     """
     settle(docs.sparkSession)
     return docs.withColumn(out, arrow_column(_scan(threshold), _SPANS)(F.col(text)))
@@ -206,7 +292,7 @@ def redact(
     docs: DataFrame, text: str = "text", size: str = "n_chars", threshold: float = THRESHOLD, mark: str = "[secret]"
 ) -> DataFrame:
     """Replaces each run of overlapping spans by ``mark`` and sets ``size`` anew, where there is
-    such a column, for changed texts. No row goes; a null text stays null."""
+    such a column, for changed texts. No row goes; a null text stays null. Very long values are costed whole."""
     settle(docs.sparkSession)
     clean = fresh(docs, "clean_text")
     made = docs.withColumn(clean, arrow_column(_redact(threshold, mark), "string")(F.col(text)))
