@@ -60,10 +60,11 @@ def test_hard_rows(spark):
     same = [(100 + k, [1.0, 2.0, 3.0, 4.0]) for k in range(50)]
     bad = [
         (None, [1.0, 0.0, 0.0, 0.0]), (200, None), (220, []), (240, [0.0] * 4), (260, [1.0, None, 1.0, 1.0]),
-        (280, [float("nan"), 1.0, 1.0, 1.0]), (300, [float("inf"), 1.0, 1.0, 1.0]), (320, [1.0, 2.0]),
+        (280, [float("nan"), 1.0, 1.0, 1.0]), (300, [float("inf"), 1.0, 1.0, 1.0]),
     ]
-    built = index.build(index.usable(_frame(spark, rows + same + bad)))
-    assert built.count() == 80
+    built = index.build(index.usable(_frame(spark, rows + same + bad + [(319, [1.0, 2.0])])))
+    same.append((319, [1.0, 2.0, 0.0, 0.0]))
+    assert built.count() == 81
     got = _found(index.search(built, F.col("vec_id") % 20 == 0, rows=25, queries=2))
     want = _brute(rows + same, [0, 20, 100, 120, 140], 20)
     assert got.keys() == want.keys()
@@ -86,3 +87,11 @@ def test_repeated_ids(spark):
     got = _found(index.search(index.build(index.usable(_frame(spark, rows))), F.col("vec_id") == 0))
     assert got == {0: [(1, 1.0), (1, 1.0), (2, 0.0)]}
     assert pytest.approx(1.0) == got[0][0][1]
+
+
+def test_vectors_of_other_sizes_take_part(spark):
+    rows = _rows(60, 6) + [(100 + k, v[:4]) for k, v in _rows(20, 6)]
+    got = _found(index.search(index.build(index.usable(_frame(spark, rows))), F.col("vec_id") == 103))
+    query = np.array(rows[63][1] + [0, 0], float)
+    exact = sorted((-float(np.array(v + [0] * (6 - len(v)), float) @ query), k) for k, v in rows if k != 103)[:20]
+    assert [k for _, k in exact] == [k for k, _ in got[103]]

@@ -24,21 +24,23 @@ PIVOTS = 256
 PREFIX = 48
 # Of a block this share of vectors, nearest by footrule, is ranked again, and LEAST at least. On vectors
 # without any structure (random directions in 64 dimensions) that finds over nine tenths of the true neighbours.
-SHARE = 0.4
+SHARE = 0.5
 LEAST = 256
 ROWS, QUERIES = 16384, 1024
 
 
 def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``vec_id, embedding`` of the rows that take part: an id, and a vector of the table's commonest
-    size that is not zero and has neither null nor non-finite components."""
+    """``vec_id, embedding`` of the rows that take part: an id, and a vector that is not zero and has neither
+    null nor non-finite components. Where sizes differ, shorter vectors are zero in what they lack."""
     v = F.col("embedding")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = vectors.select(F.col(key).alias("vec_id"), F.col(vector).cast("array<double>").alias("embedding")).where(
         F.col("vec_id").isNotNull() & v.isNotNull() & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0)
     )
-    size = rows.groupBy(F.size(v).alias("size")).count().orderBy(F.desc("count"), "size").limit(1).first()
-    return rows.where(F.size(v) == (size["size"] if size else 0))
+    sizes = rows.agg(F.min(F.size(v)).alias("least"), F.max(F.size(v)).alias("most")).first()
+    if sizes["least"] == sizes["most"]:
+        return rows
+    return rows.withColumn("embedding", F.concat(v, F.array_repeat(F.lit(0.0), F.lit(sizes["most"]) - F.size(v))))
 
 
 def _orders(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
@@ -68,7 +70,8 @@ def _represent(pivots: np.ndarray, prefix: int):
 def build(rows: DataFrame, pivots: int = PIVOTS, prefix: int = PREFIX) -> DataFrame:
     """Index of ``rows`` (as ``usable`` gives them), every row: ``vec_id, vector, pivots, place`` (its number)."""
     settle(rows.sparkSession)
-    sample = rows.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id", "embedding").limit(pivots)
+    # Different vectors, so that copies of one don't fill the prefixes.
+    sample = rows.select("embedding").distinct().orderBy(F.xxhash64("embedding"), "embedding").limit(pivots)
     chosen = np.array([r["embedding"] for r in sample.select("embedding").collect()], float)
     if not len(chosen):
         chosen = np.zeros((1, 1))
