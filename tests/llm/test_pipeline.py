@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -36,6 +37,25 @@ def test_stages_agree_with_their_operators(spark):
     assert sum(len(np.frombuffer(r["ids"], "<u4")) for r in packed.collect()) == want
 
 
+def test_the_mixture_keeps_its_permutation(spark):
+    docs = spark.createDataFrame([(k, f"word{k} " * 9, "en", "abc"[k % 7 % 3], 9) for k in range(400)], DOCS)
+    stage = materialize(pipeline.source_mix(spark, docs, SMALL), "mix")
+    wanted = mixing.mixed(docs).select("doc_id", "source", "mix_pass", "mix_place").collect()
+    place = {}
+    for r in wanted:
+        place.setdefault(r["doc_id"], []).append((r["source"], r["mix_pass"], r["mix_place"]))
+    rows = stage.withColumn("file", F.input_file_name()).withColumn("at", F.monotonically_increasing_id()).orderBy("at").collect()
+    assert len(rows) == len(wanted)
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r["file"], []).append(r["doc_id"])
+    for ids in by_file.values():
+        # A document that comes twice has a place in every pass: some choice of them rises.
+        last = ("", -1, -1)
+        for i in ids:
+            last = min(p for p in place[i] if p >= last)
+
+
 def test_run_is_registered(spark):
     assert [n for n, _ in pipeline.STAGES] == ["quality_rules", "near_duplicates", "secret_scans", "source_mix", "packing"]
     assert entry.queries()["pipeline"](spark, SMALL).count() > 0
