@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timeward.names import AMOUNT, FEATURES, ID, LABEL
@@ -204,28 +204,27 @@ def random_search(
     models = [fit_trees(train, val, inputs, label=label, **(fixed | dict(chosen))) for chosen in settings]
     scores = [ranking_metrics(m.score(val), "raw_score", label).first()["pr_auc"] for m in models]
     history = [{"val_pr_auc": s, "trees": m.trees, **c} for c, m, s in zip(settings, models, scores)]
+    best = best_setting(scores)
+    return (None if best is None else models[best]), history
+
+
+def best_setting(scores: Sequence[float | None]) -> int | None:
+    """Place of the largest score, the first of equals; None where no setting has one."""
     ranked = [k for k, s in enumerate(scores) if s is not None]
-    return (models[max(ranked, key=lambda k: (scores[k], -k))] if ranked else None), history
+    return max(ranked, key=lambda k: (scores[k], -k)) if ranked else None
 
 
 # ---- explanations ----------------------------------------------------------------------------
 
 
-def contributions(
-    model: PipelineModel,
-    rows: DataFrame,
-    columns: Sequence[str] = tuple(BASELINE_COLUMNS),
-    *,
-    id: str = ID,
+def explained(
+    rows: DataFrame, z: Column, weights: Sequence[float], intercept: float, columns: Sequence[str], *, id: str = ID
 ) -> DataFrame:
-    """(id, y_score, base, parts): the log-odds as a base value plus one part per column.
+    """(id, y_score, base, parts) of a linear model over the standardised values ``z``, an array of doubles.
 
     Parts are ``weight x standardised value``, so base plus parts equals the log-odds exactly.
     """
-    regression = model.stages[-1]
-    weights = F.array(*[F.lit(float(w)) for w in regression.coefficients])
-    scored = model.transform(_as_doubles(rows, list(columns)))
-    parts = F.zip_with(vector_to_array("_z"), weights, lambda z, w: z * w)
+    parts = F.zip_with(z, F.array(*[F.lit(float(w)) for w in weights]), lambda v, w: v * w)
     named = F.zip_with(
         F.array(*[F.lit(c) for c in columns]),
         F.zip_with(
@@ -235,14 +234,26 @@ def contributions(
         ),
         lambda n, s: F.struct(n.alias("feature"), s["part"].alias("part"), s["value"].alias("value")),
     )
-    return scored.select(
-        id,
-        vector_to_array("_p")[1].alias("y_score"),
-        F.lit(float(regression.intercept)).alias("base"),
-        named.alias("parts"),
+    base = F.lit(float(intercept))
+    odds = F.aggregate("parts", base, lambda total, p: total + p["part"])
+    return rows.select(id, base.alias("base"), named.alias("parts")).select(
+        id, (F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))).alias("y_score"), "base", "parts"
     )
 
 
+def contributions(
+    model: PipelineModel,
+    rows: DataFrame,
+    columns: Sequence[str] = tuple(BASELINE_COLUMNS),
+    *,
+    id: str = ID,
+) -> DataFrame:
+    """As :func:`explained`, of a fitted baseline."""
+    regression = model.stages[-1]
+    scored = model.transform(_as_doubles(rows, list(columns)))
+    return explained(scored, vector_to_array("_z"), list(regression.coefficients), regression.intercept, columns, id=id)
+
+
 def global_attribution(explained: DataFrame, *, top: int = 25) -> DataFrame:
     """Features by mean absolute contribution, largest first."""
     return (

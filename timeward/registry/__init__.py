@@ -56,6 +56,7 @@ def load_all() -> dict[str, Entry]:
         loading,
         modelling,
         splitting,
+        verified,
     )
 
     return ENTRIES
