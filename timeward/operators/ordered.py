@@ -133,7 +133,9 @@ def accumulate(
     """As :func:`running_totals`, for input that already holds one record per value."""
     by = list(by)
     if edges is None and by:
-        if _more_than_one_task(values):
+        # Groups are sorted side by side; only a large one needs ranges.
+        sizes = values.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+        if (sizes.agg(F.max("_n")).first()[0] or 0) > WHOLE_BELOW:
             return _accumulate_ranges(with_range_by(values, order, by), order, names, by, descending)
         edges = []
     if edges is None:

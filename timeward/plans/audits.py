@@ -1,8 +1,8 @@
 """Column audits: does a column keep its meaning over time, its distribution, its own signal?
 
-Columns are turned into (column, value) records and all of them are judged in one job. Values are
-counted per distinct value before anything is ordered; only per-column numbers, bounded by the
-schema, are ever gathered.
+One scan turns all columns into a counted store: rows per column, value, label, time window and segment, written
+once. Every audit reads that store, so rows of any width are read once whatever is asked of them, and what
+is ordered are counted values. Only per-column numbers, bounded by the schema, are ever gathered.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from timeward.contract.tables import REJECTIONS
 from timeward.names import ID, LABEL, PRODUCT, TIME
 from timeward.operators.metrics import ranking_metrics
-from timeward.operators.ordered import exact_quantiles
+from timeward.operators.ordered import quantiles_of, running_totals
 from timeward.policy import Policy
+from timeward.session import materialize
 
 _FLOOR = 1e-6
 PSI_BINS = 10
@@ -30,23 +31,42 @@ def unpivot(rows: DataFrame, columns: Sequence[str], *keep: Column | str) -> Dat
     return rows.select(*keep, F.inline(cells)).where(F.col("value").isNotNull())
 
 
-def with_window(
+def counted_cells(
     rows: DataFrame,
-    train: tuple[float, float],
-    holdout: tuple[float, float],
+    columns: Sequence[str],
     *,
+    train: tuple[float, float] | None = None,
+    holdout: tuple[float, float] | None = None,
+    segment: str | None = None,
+    label: str | None = LABEL,
     time: str = TIME,
 ) -> DataFrame:
-    """Keeps rows in the two slices of the time axis and adds ``window``."""
-    axis = rows.agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
-    share = (F.col(time) - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0))
-    inside = lambda w: (share >= F.lit(w[0])) & (share <= F.lit(w[1]))
-    return (
-        rows.crossJoin(F.broadcast(axis))  # one row
-        .withColumn("window", F.when(inside(train), "train").when(inside(holdout), "holdout"))
-        .where(F.col("window").isNotNull())
-        .drop("_lo", "_hi")
-    )
+    """The store: ``column, value, window, segment, label, n`` for every non-missing value, written once.
+
+    ``window`` tells the two slices of the time axis apart and is NULL outside them; rows outside are left out
+    where no segment is asked for. Counts of one (value, label) merge before the shuffle.
+    """
+    window = F.lit(None).cast("string")
+    if train is not None and holdout is not None:
+        axis = rows.agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
+        rows = rows.crossJoin(F.broadcast(axis))  # one row
+        share = (F.col(time) - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0))
+        inside = lambda w: (share >= F.lit(w[0])) & (share <= F.lit(w[1]))
+        window = F.when(inside(train), "train").when(inside(holdout), "holdout")
+    kept = {
+        "window": window,
+        "segment": (F.lit(None) if segment is None else F.col(segment)).cast("string"),
+        "label": F.lit(0) if label is None else F.coalesce(F.col(label).cast("int"), F.lit(0)),
+    }
+    cells = unpivot(rows, columns, *[c.alias(f"_{n}") for n, c in kept.items()])
+    if segment is None and train is not None:
+        cells = cells.where(F.col("_window").isNotNull())
+    store = cells.groupBy("column", "value", *[F.col(f"_{n}").alias(n) for n in kept]).agg(F.count(F.lit(1)).alias("n"))
+    return materialize(store, "counted-cells")
+
+
+def _windows(store: DataFrame) -> DataFrame:
+    return store.where(F.col("window").isNotNull())
 
 
 def time_consistency(
@@ -60,9 +80,11 @@ def time_consistency(
     time: str = TIME,
 ) -> DataFrame:
     """Per column, its ranking power early and late, and whether the ranking turned around."""
-    placed = with_window(rows.select(time, label, *columns), train, holdout, time=time)
-    cells = unpivot(placed, columns, "window", label)
-    found = ranking_metrics(cells, "value", label, by=["column", "window"])
+    return time_consistency_of(counted_cells(rows, columns, train=train, holdout=holdout, label=label, time=time), margin=margin)
+
+
+def time_consistency_of(store: DataFrame, *, margin: float = 0.0) -> DataFrame:
+    found = ranking_metrics(_windows(store), "value", "label", weight="n", by=["column", "window"])
     pick = lambda w: F.max(F.when(F.col("window") == w, F.col("roc_auc")))
     early, late = F.col("auc_train") - 0.5, F.col("auc_holdout") - 0.5
     turned = (early * late < 0) & (F.abs(early) > margin) & (F.abs(late) > margin)
@@ -93,26 +115,22 @@ def distribution_shift(
     Bins are the early slice's exact quantiles. A column constant there has no bins: its index is
     NULL and ``degenerate`` is set, which is a different finding from a shift.
     """
-    cells = unpivot(
-        with_window(rows.select(time, *columns), train, holdout, time=time), columns, "window"
-    )
-    counts = cells.groupBy("column", "window", "value").agg(F.count(F.lit(1)).alias("n"))
-    early = cells.where(F.col("window") == "train")
-    cuts = exact_quantiles(early, "value", [i / bins for i in range(bins + 1)], by=["column"])
-    # One row: at most one short array per column of the schema.
-    edges = (
-        cuts.groupBy("column")
-        .agg(F.array_distinct(F.array_sort(F.collect_list("value"))).alias("e"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("column", "e"))).alias("_edges"))
-    )
-    inner = F.col("_edges")[F.col("column")]
+    return distribution_shift_of(counted_cells(rows, columns, train=train, holdout=holdout, label=None, time=time), bins=bins)
+
+
+def distribution_shift_of(store: DataFrame, *, bins: int = PSI_BINS) -> DataFrame:
+    slices = _windows(store)
+    early = slices.where(F.col("window") == "train")
+    counted = running_totals(early, "value", {"n": F.sum("n")}, by=["column"])
+    cuts = quantiles_of(counted, "value", [i / bins for i in range(bins + 1)], by=["column"])
+    # One row per column of the schema, each with a short array.
+    edges = cuts.groupBy("column").agg(F.array_distinct(F.array_sort(F.collect_list("value"))).alias("_edges"))
+    placed = slices.join(F.broadcast(edges), "column", "left")
     # Inner edges only: the outermost bins are open.
-    slot = F.size(
-        F.filter(F.slice(inner, 2, F.greatest(F.size(inner) - 2, F.lit(0))), lambda e: e < F.col("value"))
-    )
+    inner = F.slice("_edges", 2, F.greatest(F.size("_edges") - 2, F.lit(0)))
+    slot = F.coalesce(F.size(F.filter(inner, lambda e: e < F.col("value"))), F.lit(0))
     per_bin = (
-        counts.crossJoin(F.broadcast(edges))
-        .select("column", "window", "n", slot.alias("bin"), F.size(inner).alias("_edge_count"))
+        placed.select("column", "window", "n", slot.alias("bin"), F.when(F.col("_edges").isNotNull(), F.size("_edges")).alias("_edge_count"))
         .groupBy("column", "bin")
         .agg(
             F.sum(F.when(F.col("window") == "train", F.col("n")).otherwise(0)).alias("early"),
@@ -208,26 +226,19 @@ def segment_qualification(
     ``hollow`` marks a column whose pooled power is above the floor and falls by more than
     ``max_drop`` inside the segment. Power is NULL where a class is absent: not measurable.
     """
-    cells = unpivot(rows, columns, segment, label)
+    store = counted_cells(rows, columns, segment=segment, label=label)
+    return segment_qualification_of(store, floor=floor, max_drop=max_drop)
+
+
+def segment_qualification_of(store: DataFrame, *, floor: float = 0.60, max_drop: float = 0.08) -> DataFrame:
     power = F.greatest(F.col("roc_auc"), F.lit(1.0) - F.col("roc_auc"))
-    pooled = ranking_metrics(cells, "value", label, by=["column"]).select(
-        "column", power.alias("pooled")
-    )
-    within = ranking_metrics(cells.where(F.col(segment).isNotNull()), "value", label, by=["column", segment])
+    pooled = ranking_metrics(store, "value", "label", weight="n", by=["column"]).select("column", power.alias("pooled"))
+    within = ranking_metrics(store.where(F.col("segment").isNotNull()), "value", "label", weight="n", by=["column", "segment"])
+    hollow = (F.col("pooled") >= F.lit(floor)) & (F.col("pooled") - F.col("within") > F.lit(max_drop))
     return (
-        within.select("column", F.col(segment).alias("segment"), "rows", power.alias("within"))
+        within.select("column", "segment", "rows", power.alias("within"))
         .join(pooled, "column")
-        .select(
-            "column",
-            "segment",
-            "rows",
-            "pooled",
-            "within",
-            F.coalesce(
-                (F.col("pooled") >= F.lit(floor)) & (F.col("pooled") - F.col("within") > F.lit(max_drop)),
-                F.lit(False),
-            ).alias("hollow"),
-        )
+        .select("column", "segment", "rows", "pooled", "within", F.coalesce(hollow, F.lit(False)).alias("hollow"))
     )
 
 
@@ -299,20 +310,27 @@ def run_audits(
     :func:`missing_families`; without them there is nothing to call redundant and no family to
     reject as a whole.
     """
-    windows = {"train": policy.train_window, "holdout": policy.holdout_window}
+    store = counted_cells(
+        rows,
+        columns,
+        train=policy.train_window,
+        holdout=policy.holdout_window,
+        segment=policy.segment_column if policy.segment_enabled else None,
+        label=label,
+    )
     found = []
     if policy.enabled("time_consistency"):
         families = None
         if policy.reject_by_block and groups:
             pairs = [(c, g) for g, members in groups.items() for c in members]
             families = rows.sparkSession.createDataFrame(pairs, "column string, family string")
-        result = time_consistency(rows, columns, label=label, **windows)
+        result = time_consistency_of(store)
         found.append(time_rejections(result, families=families))
         if families is not None:
             lone = result.join(families, "column", "left_anti")
             found.append(time_rejections(lone))
     if policy.enabled("distribution_shift"):
-        result = distribution_shift(rows, columns, **windows)
+        result = distribution_shift_of(store)
         found.append(
             shift_rejections(
                 result, threshold=policy.psi_threshold, reject_degenerate=policy.reject_degenerate
@@ -321,13 +339,8 @@ def run_audits(
     if policy.enabled("redundancy") and groups:
         found.append(redundancy_rejections(redundancy(rows, groups)))
     if policy.segment_enabled:
-        result = segment_qualification(
-            rows,
-            columns,
-            segment=policy.segment_column,
-            floor=policy.segment_pooled_floor,
-            max_drop=policy.segment_max_drop,
-            label=label,
+        result = segment_qualification_of(
+            store, floor=policy.segment_pooled_floor, max_drop=policy.segment_max_drop
         )
         found.append(
             segment_rejections(

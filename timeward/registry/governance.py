@@ -49,13 +49,16 @@ from timeward.operators.metrics import (
     seen_segments,
 )
 from timeward.plans.audits import (
+    counted_cells,
     distribution_shift,
+    distribution_shift_of,
     distinct_values,
     missing_families,
     redundancy,
     segment_qualification,
     shift_rejections,
     time_consistency,
+    time_consistency_of,
     time_rejections,
     to_fragments,
 )
@@ -83,25 +86,26 @@ from timeward.session import materialize, scratch_path
 from timeward.sources.sinks import append_log
 
 P = "probability"
-AUDITED = ["TransactionAmt", "C1", "C2", "C5", "D2", "D3", "D10", "D11", "D15", "addr1"]
+# Every number that a model may read.
+AUDITED = ["TransactionAmt", *(f"C{i}" for i in range(1, 15)), *(f"D{i}" for i in (1, 2, 3, 5, 10, 11, 15)), "card1", "addr1", *V_COLUMNS]
 _WINDOWS = {"train": (0.0, 0.17), "holdout": (0.83, 1.0)}
 _MARGIN = 0.004
 
 
 def _orders(spark, folder):
-    return transactions(spark, folder, "orders").select(ID, TIME, LABEL, PRODUCT, *AUDITED)
+    return wide_transactions(spark, folder, "orders").select(ID, TIME, LABEL, PRODUCT, *AUDITED)
 
 
 # ---- audits ----------------------------------------------------------------------------------
 
-_CELLS = f"""{tx_sql('orders')},
+_CELLS = f"""{wide_sql('orders')},
 axis AS (SELECT min(TransactionDT) AS lo, max(TransactionDT) AS hi FROM tx),
 placed AS (SELECT tx.*, (TransactionDT - lo) / (hi - lo)::DOUBLE AS share FROM tx CROSS JOIN axis),
 win AS (SELECT *, CASE WHEN share >= 0.0::DOUBLE AND share <= 0.17::DOUBLE THEN 'train'
   WHEN share >= 0.83::DOUBLE AND share <= 1.0::DOUBLE THEN 'holdout' END AS win FROM placed),
-cells AS ({' UNION ALL '.join(
-    f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS v, win, isFraud, ProductCD FROM win WHERE {c} IS NOT NULL"
-    for c in AUDITED)})"""
+cells AS MATERIALIZED (
+  SELECT * FROM (SELECT win, isFraud, ProductCD, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in AUDITED)} FROM win WHERE win IS NOT NULL)
+  UNPIVOT (v FOR col IN ({', '.join(AUDITED)})))"""
 
 
 def _auc_cte(name: str, keys: str, where: str) -> str:
@@ -237,7 +241,7 @@ _DERIVED = ["D3n"]
 _RETRIEVED = ["C1", "C2", "C5"]
 _THRESHOLD = 0.5
 _DECLARED_COLUMNS = [PRODUCT, *AUDITED, "D3n"]
-_KINDS = {"ProductCD": "str", "TransactionAmt": "float", "D15": "float", "D3n": "float"}
+_KINDS = {"ProductCD": "str", "TransactionAmt": "float", "D15": "float", "D3n": "float", **dict.fromkeys(V_COLUMNS, "float")}
 
 
 def _declared_values() -> str:
@@ -263,10 +267,23 @@ ct AS (SELECT position, dc.col AS "column", source, dtype, fr.col IS NULL OR dc.
   FROM dc LEFT JOIN fr ON fr.col = dc.col)"""
 
 
+# Verdicts by application and folder: a dozen queries ask for the same ones.
+_JUDGED: dict = {}
+
+
 def _verdicts(spark, folder):
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _JUDGED:
+        _JUDGED[key] = _judged(spark, folder)
+    return _JUDGED[key]
+
+
+def _judged(spark, folder):
     rows = _orders(spark, folder)
-    found = time_rejections(time_consistency(rows, AUDITED, margin=_MARGIN)).unionByName(
-        shift_rejections(distribution_shift(rows, AUDITED), threshold=_THRESHOLD)
+    # One store for both audits.
+    store = counted_cells(rows, AUDITED, **_WINDOWS)
+    found = time_rejections(time_consistency_of(store, margin=_MARGIN)).unionByName(
+        shift_rejections(distribution_shift_of(store), threshold=_THRESHOLD)
     )
     # A few rows per audit; written once because several checks read them.
     return materialize(found, "verdicts")
