@@ -187,3 +187,29 @@ def test_entity_split_shares_no_entity(spark):
     assert shuffled == {r["id"]: r["part"] for r in rows}
     with pytest.raises(ValueError):
         entity_split(df, frac=1.0)
+
+
+def test_one_dictionary_for_many_columns_on_all_routes(spark):
+    from pyspark.sql import functions as F
+
+    from timeward.operators.lookups import with_dictionary
+
+    words = spark.createDataFrame(
+        [("a", "x", 5), ("a", "y", 7), ("b", "x", 1), ("c", "7", 9), ("d", "unused", 3)], "column string, value string, n long"
+    )
+    rows = spark.createDataFrame(
+        [(1, "x", "x", 7), (2, "y", None, 8), (3, None, "z", None), (4, "x", "x", 7), (5, "z", "y", 7)], "id long, p string, q string, r long"
+    )
+    probes = {"p_n": ("a", F.col("p")), "q_n": ("b", F.col("q")), "r_n": ("c", F.col("r")), "q_as_a": ("a", F.col("q")), "none": ("gone", F.col("p"))}
+    expected = [
+        (1, "x", "x", 7, 5, 1, 9, 5, None), (2, "y", None, 8, 7, None, None, None, None), (3, None, "z", None, None, None, None, None, None),
+        (4, "x", "x", 7, 5, 1, 9, 5, None), (5, "z", "y", 7, None, None, 9, 7, None),
+    ]
+    for options in ({}, {"key": "id", "most_bytes": 0}, {"most_bytes": 0}):
+        found = with_dictionary(rows, words, probes, "n", **options)
+        assert found.columns == [*rows.columns, *probes]
+        assert sorted(map(tuple, found.collect())) == expected, options
+    joined = with_dictionary(rows, words, probes, "n", key="id", most_bytes=0)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2  # with the dictionary, and back to the rows
+    assert with_dictionary(rows, words, {}, "n").columns == rows.columns

@@ -8,8 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from timeward.names import DAY_SECONDS, TIME
-from timeward.operators.lookups import with_lookup
+from timeward.names import DAY_SECONDS, ID, TIME
+from timeward.operators.lookups import with_dictionary
 
 
 class DerivationError(Exception):
@@ -97,18 +97,16 @@ def _add_indicator(frame: DataFrame, d: Derivation, maps: DataFrame | None) -> D
 
 
 def _add_frequency(frame: DataFrame, d: Derivation, maps: DataFrame | None) -> DataFrame:
-    """The training count of the row's value. Unseen and missing values both give NULL."""
-    key = str(d.params.get("map_key", d.inputs[0]))
+    return _add_frequencies(frame, [d], maps)
+
+
+def _add_frequencies(frame: DataFrame, declared: Sequence[Derivation], maps: DataFrame | None) -> DataFrame:
+    """The training counts of the rows' values, from one map for all. Unseen and missing values both give NULL."""
+    keys = {d.name: str(d.params.get("map_key", d.inputs[0])) for d in declared}
     if maps is None:
-        raise DerivationError(f"{d.name} needs a fitted frequency map for {key!r}")
-    return with_lookup(
-        frame,
-        maps.where(F.col("column") == key),
-        F.col(d.inputs[0]).cast("string"),
-        "value",
-        "count",
-        d.name,
-    )
+        raise DerivationError(f"{declared[0].name} needs a fitted frequency map for {keys[declared[0].name]!r}")
+    probes = {d.name: (keys[d.name], F.col(d.inputs[0])) for d in declared}
+    return with_dictionary(frame, maps, probes, "count", key=ID if ID in frame.columns else None)
 
 
 TOOLS: dict[str, Callable[[DataFrame, Derivation, DataFrame | None], DataFrame]] = {
@@ -132,14 +130,20 @@ def apply_derivations(
     ``maps`` is the fitted (``column``, ``value``, ``count``) table. A derivation that cannot be
     computed raises; none is skipped.
     """
+    waiting: list[Derivation] = []  # frequency encodings in a row, which one lookup serves
     for d in declared:
+        if waiting and (d.tool != "frequency_encode" or {*d.inputs, d.name} & {w.name for w in waiting}):
+            frame, waiting = _add_frequencies(frame, waiting, maps), []
         tool = TOOLS.get(d.tool)
         if tool is None:
             raise DerivationError(f"{d.name}: no tool named {d.tool!r}, have {sorted(TOOLS)}")
         if absent := [c for c in d.inputs if c not in frame.columns]:
             raise DerivationError(f"{d.name} needs {absent}, which the frame does not have")
-        frame = tool(frame, d, maps)
-    return frame
+        if d.tool == "frequency_encode":
+            waiting.append(d)
+        else:
+            frame = tool(frame, d, maps)
+    return _add_frequencies(frame, waiting, maps) if waiting else frame
 
 
 def require_maps(maps: DataFrame, declared: Sequence[Derivation]) -> None:

@@ -18,7 +18,7 @@ from timeward.names import (
     ORIGIN,
     V_COLUMNS,
 )
-from timeward.operators.lookups import inner_attach, left_attach, with_lookup
+from timeward.operators.lookups import inner_attach, left_attach, with_dictionary
 
 
 class AssemblyError(Exception):
@@ -143,13 +143,11 @@ def align_to(
     aligned = df.select(*[c for c in carry if c not in reference.names], *out)
     if levels is None:
         return aligned
-    for f in reference.fields:
-        if not isinstance(f.dataType, T.StringType) or f.name not in have:
-            continue
-        known = levels.where(F.col("column") == f.name)
-        aligned = with_lookup(aligned, known, F.col(f.name), "value", "value", "_level")
-        aligned = aligned.withColumn(f.name, F.col("_level")).drop("_level")
-    return aligned
+    texts = [f.name for f in reference.fields if isinstance(f.dataType, T.StringType) and f.name in have]
+    probes = {f"_level_{c}": (c, F.col(c)) for c in texts}
+    key = ID if ID in aligned.columns else None
+    known = with_dictionary(aligned, levels, probes, "value", key=key)
+    return known.select(*[F.col(f"_level_{c}").alias(c) if c in texts else F.col(c) for c in aligned.columns])
 
 
 def scoring_history(train: DataFrame, scoring: DataFrame, *, origin: str = ORIGIN) -> DataFrame:

@@ -8,12 +8,16 @@ saves shuffling wide rows before the small side's size is known.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timeward.names import ID
 
 _NULL_LANES = 1 << 20
+# Bytes of a dictionary of many columns that may be broadcast.
+BROADCAST_BYTES = 32 << 20
 # Rows of (key, value) a broadcast may hold; a few tens of megabytes.
 BROADCAST_ROWS = 500_000
 
@@ -78,6 +82,46 @@ def with_lookup(
     return _left_probe(rows, side, probe, "_key").drop("_key")
 
 
+def with_dictionary(
+    rows: DataFrame,
+    dictionary: DataFrame,
+    probes: Mapping[str, tuple[str, Column]],
+    code: str,
+    *,
+    key: str | None = None,
+    most_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Adds many outputs from one dictionary (``column, value``, ``code``), unique on its first two.
+
+    ``probes`` maps each output to the dictionary's column and the text to look up; NULL and unknown texts give
+    NULL. The dictionary's bytes are measured once. A small one is broadcast: every probe is map-side and nothing
+    is shuffled. A larger one is joined once, whatever the number of outputs: the texts of a row go out as cells,
+    meet the dictionary, and come back as one map per ``key``, which must be unique and not NULL. Without a key
+    each output takes a join of its own.
+    """
+    if not probes:
+        return rows
+    wanted = sorted({column for column, _ in probes.values()})
+    side = dictionary.where(F.col("column").isin(wanted)).select("column", "value", F.col(code).alias("_code"))
+    size = F.sum(F.octet_length("column") + F.octet_length("value") + F.coalesce(F.octet_length(F.col("_code").cast("string")), F.lit(0)) + F.lit(32))
+    small = (side.agg(size.alias("bytes")).first()["bytes"] or 0) <= most_bytes
+    if small or key is None:
+        for output, (column, text) in probes.items():
+            own = side.where(F.col("column") == column).select(F.col("value").alias("_key"), F.col("_code").alias(output))
+            rows = _left_probe(rows, F.broadcast(own) if small else own, text.cast("string"), "_key").drop("_key")
+        return rows
+    cells = F.array(
+        *[
+            F.struct(F.lit(place).alias("_place"), F.lit(column).alias("column"), text.cast("string").alias("value"))
+            for place, (column, text) in enumerate(probes.values())
+        ]
+    )
+    met = rows.select(F.col(key).alias("_row"), F.inline(cells)).where(F.col("value").isNotNull()).join(side, ["column", "value"])
+    codes = met.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_place", "_code"))).alias("_codes"))
+    joined = rows.join(codes, F.col(key) == F.col("_row"), "left")
+    return joined.withColumns({o: F.col("_codes")[F.lit(place)] for place, o in enumerate(probes)}).drop("_row", "_codes")
+
+
 def names_missing_from(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
     """Names on the left that the right does not have."""
     return left.select(column).distinct().join(right.select(column).distinct(), column, "left_anti")
