@@ -26,7 +26,7 @@ END = 2
 # off as one, whatever stands around it.
 _PLAIN = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*()+=/_~^-]*)|(.+))$", re.M)
 # Words that one generation of the memory holds, and bytes of text that are encoded at a time.
-_CACHED = 400_000
+_CACHED = 800_000
 _AT_ONCE = 4 << 20
 
 
@@ -63,7 +63,7 @@ class _Encoder:
     """Ids of words as little-endian unsigned 32-bit bytes, remembered per word.
 
     White space only separates words in this vocabulary (its normalizer works within words), so a text's ids
-    are those of its words, one after another. The new plain parts of many words are encoded as one text, in which an id
+    are those of its words, one after another. The new plain words of many texts are encoded as one text, in which an id
     with a word end closes each part; other words are encoded one by one.
     """
 
@@ -74,31 +74,24 @@ class _Encoder:
         vocabulary = self.whole.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[n for token, n in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words, self.parts = _Memory(_CACHED), _Memory(_CACHED)
-
-    def _learn_parts(self, parts: set[str]) -> None:
-        self.parts.turn()
-        unknown = self.parts.missing(parts.difference(self.parts.young))
-        if not unknown:
-            return
-        coded = self.whole.encode_batch_fast([" ".join(unknown)], add_special_tokens=False)[0]
-        ids = np.array(coded.ids, "<u4")
-        ends = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
-        if len(ends) != len(unknown):
-            raise ValueError("the vocabulary does not close every part with a word end")
-        raw = ids.tobytes()
-        self.parts.young.update(zip(unknown, map(raw.__getitem__, map(slice, [0, *ends], ends))))
+        self.words = _Memory(_CACHED)
 
     def _learn(self, words: set[bytes]) -> None:
         unknown = self.words.missing(words)
         found = _PLAIN.findall(b"\n".join(unknown).decode())
-        self._learn_parts({core for core, *_ in found if core}.union(tail for _, tail, _ in found if tail))
-        parts, young, odd = self.parts.young, self.words.young, []
-        for raw, (core, tail, other) in zip(unknown, found):
-            if other:
-                odd.append((raw, other))
-            else:
-                young[raw] = parts[core] + parts[tail] if tail else parts[core]
+        young = self.words.young
+        plain = [raw for raw, (*_, other) in zip(unknown, found) if not other]
+        if plain:
+            coded = self.whole.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0]
+            ids = np.array(coded.ids, "<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            # A word closes once, and once more where it has a tail.
+            last = np.cumsum([2 if tail else 1 for _, tail, other in found if not other])
+            if len(ends) != last[-1]:
+                raise ValueError("the vocabulary does not close every part with a word end")
+            cuts, raw_ids = (4 * ends[last - 1]).tolist(), ids.tobytes()
+            young.update(zip(plain, map(raw_ids.__getitem__, map(slice, [0, *cuts], cuts))))
+        odd = [(raw, other) for raw, (*_, other) in zip(unknown, found) if other]
         coded = self.whole.encode_batch_fast([w for _, w in odd], add_special_tokens=False)
         for (raw, _), one in zip(odd, coded):
             young[raw] = np.array(one.ids, "<u4").tobytes()
