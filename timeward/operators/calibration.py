@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeward.functions.scalars import clipped
 from timeward.names import ID, LABEL
+from timeward.operators.isotonic import apply_blocks, fit_blocks
 from timeward.operators.metrics import probability_losses, ranking_metrics
 from timeward.operators.ordered import hash_rank
 from timeward.session import materialize
@@ -36,21 +35,35 @@ def with_folds(
 
 @dataclass(frozen=True)
 class Calibrator:
+    """``model`` is Spark's logistic model, or the written blocks of an isotonic fit."""
+
     method: str
-    model: object
+    model: LogisticRegressionModel | DataFrame
 
     def apply(self, scored: DataFrame, score: str, output: str) -> DataFrame:
-        plain = scored.withColumn("_score", F.col(score).cast("double"))
         if self.method == "isotonic":
             # Scores outside the fitted range take the nearest end.
-            out = self.model.transform(plain)
-            return out.withColumn(output, clipped(F.col("_fitted"), 0.0, 1.0)).drop("_score", "_fitted")
+            return apply_blocks(scored, self.model, score, output)
+        plain = scored.withColumn("_score", F.col(score).cast("double"))
         vectors = VectorAssembler(inputCols=["_score"], outputCol="_x").transform(plain)
         out = self.model.transform(vectors)
         return out.withColumn(output, vector_to_array("_p")[1]).drop(
             "_score", "_x", "_raw", "_p", "_class"
         )
 
+    def save(self, path: str) -> None:
+        writer = self.model.write
+        if self.method == "isotonic":
+            writer.mode("overwrite").parquet(path)
+        else:
+            writer().overwrite().save(path)
+
+
+def load_calibrator(spark: SparkSession, method: str, path: str) -> Calibrator:
+    if method == "isotonic":
+        return Calibrator(method, spark.read.parquet(path))
+    return Calibrator(method, LogisticRegressionModel.load(path))
+
 
 def grouped_scores(
     scored: DataFrame, score: str, label: str = LABEL, weight: str | None = None
@@ -67,13 +80,7 @@ def fit_calibrator(
 ) -> Calibrator:
     points = grouped_scores(scored, score, label, weight)
     if method == "isotonic":
-        pooled = points.groupBy("_score").agg(
-            (F.sum(F.col("_y") * F.col("_w")) / F.sum("_w")).alias("_y"), F.sum("_w").alias("_w")
-        )
-        fit = IsotonicRegression(
-            featuresCol="_score", labelCol="_y", weightCol="_w", predictionCol="_fitted"
-        )
-        return Calibrator(method, fit.fit(pooled))
+        return Calibrator(method, fit_blocks(points, "_score", "_y", "_w"))
     if method == "platt":
         points = points.persist()
         try:
@@ -120,14 +127,23 @@ def fold_losses(
     judged = points.select(
         "fold", F.lit("raw").alias("method"), label, "_rows", F.col(score).cast("double").alias("_p")
     )
-    for fold in range(folds):
-        fit_on, held = points.where(F.col("fold") != fold), points.where(F.col("fold") == fold)
-        for method in methods:
-            fitted = fit_calibrator(fit_on, score, method, label, weight="_rows")
-            judged = judged.unionByName(
-                fitted.apply(held, score, "_q").select(
-                    "fold", F.lit(method).alias("method"), label, "_rows", F.col("_q").alias("_p")
+    numbers = F.array(*[F.lit(k) for k in range(folds)])
+    for method in methods:
+        if method == "isotonic":
+            # All folds in one pass: a record is a point of every fit but its own fold's.
+            others = points.withColumn("fold", F.explode(F.array_except(numbers, F.array("fold"))))
+            blocks = fit_blocks(others, score, label, "_rows", by=["fold"])
+            fits = [apply_blocks(points, blocks, score, "_q", by=["fold"])]
+        else:
+            fits = [
+                fit_calibrator(points.where(F.col("fold") != k), score, method, label, weight="_rows").apply(
+                    points.where(F.col("fold") == k), score, "_q"
                 )
+                for k in range(folds)
+            ]
+        for out in fits:
+            judged = judged.unionByName(
+                out.select("fold", F.lit(method).alias("method"), label, "_rows", F.col("_q").alias("_p"))
             )
     groups = ["fold", "method"]
     ranked = ranking_metrics(judged, "_p", label, weight="_rows", by=groups).select(*groups, "pr_auc")

@@ -12,21 +12,18 @@ import json
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timeward.contract.tables import map_lines, require_model_matches
 from timeward.functions.derive import Derivation, require_maps
-from timeward.operators.calibration import Calibrator
+from timeward.operators.calibration import Calibrator, load_calibrator
 from timeward.plans.gate import require_promoted
 from timeward.plans.models import TreeInputs, TreeModel
 from timeward.plans.scoring import score_rows
 from timeward.session import materialize, path_exists
 
-FORMAT = 1
-_CALIBRATORS = {"isotonic": IsotonicRegressionModel, "platt": LogisticRegressionModel}
+FORMAT = 2
 
 
 class BundleError(Exception):
@@ -72,7 +69,7 @@ def save_bundle(bundle: Bundle, root: str) -> str:
     if path_exists(spark, f"{path}/manifest/_SUCCESS"):
         raise BundleError(f"{path} holds a complete bundle, which is never overwritten")
     bundle.model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    bundle.calibrator.model.write().overwrite().save(f"{path}/calibrator")
+    bundle.calibrator.save(f"{path}/calibrator")
     if bundle.maps is not None:
         bundle.maps.select("column", "value", "count").write.mode("overwrite").parquet(f"{path}/maps")
     manifest = {
@@ -106,7 +103,7 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
     size = 2 * len(inputs.numeric) + len(inputs.categorical)
     if pipeline.stages[-1].numFeatures != size:
         raise BundleError(f"the stored trees take {pipeline.stages[-1].numFeatures} values, the manifest names {size}")
-    calibrator = Calibrator(stored["method"], _CALIBRATORS[stored["method"]].load(f"{path}/calibrator"))
+    calibrator = load_calibrator(spark, stored["method"], f"{path}/calibrator")
     maps = spark.read.parquet(f"{path}/maps") if stored["has_maps"] else None
     if _lines(maps) != stored["maps"]:
         raise BundleError(f"the frequency maps at {path} are not those that were stored")

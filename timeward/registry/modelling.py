@@ -11,6 +11,7 @@ from timeward.contract.tables import fingerprint, map_lines
 from timeward.functions.derive import Derivation, apply_derivations, frequency_map
 from timeward.names import AMOUNT, ID, LABEL, PRODUCT, SPLIT
 from timeward.operators.calibration import choose_method, fit_calibrator, fold_losses
+from timeward.operators.isotonic import apply_blocks, fit_blocks
 from timeward.operators.metrics import noise_summary, ranking_metrics
 from timeward.operators.ordered import seeded_hash
 from timeward.operators.splits import split_table
@@ -146,6 +147,41 @@ def isotonic_probabilities(spark, folder):
     return out.select(ID, "score", steady(F.col("calibrated"), 6).alias("calibrated"))
 
 
+# Small ranges and no broadcast: the route that many distinct scores take.
+_CUT = {"per_range": 64}
+_MERGED = {"held_blocks": -1, "whole_below": 0}
+
+
+@query("k06_isotonic_in_ranges", "K6", _ISOTONIC_SQL)
+def isotonic_in_ranges(spark, folder):
+    rows = scored(spark, folder, "orders").withColumn("_one", F.lit(1))
+    blocks = fit_blocks(rows, "score", LABEL, "_one", **_CUT)
+    out = apply_blocks(rows, blocks, "score", "calibrated", **_MERGED)
+    return out.select(ID, "score", steady(F.col("calibrated"), 6).alias("calibrated"))
+
+
+@query(
+    "k06_isotonic_folds",
+    "K6 K7",
+    f"""{scored_sql('orders')}, tr AS (SELECT fold, score, isFraud, TransactionID FROM sc, range(5) f(fold) WHERE TransactionID % 5 <> fold),
+g AS (SELECT fold, score, count(*) AS w, sum(isFraud) AS y, row_number() OVER (PARTITION BY fold ORDER BY score) AS i FROM tr GROUP BY fold, score),
+c AS (SELECT fold, i, sum(w) OVER o AS cw, sum(y) OVER o AS cy, w, y FROM g WINDOW o AS (PARTITION BY fold ORDER BY i)),
+runs AS (SELECT a.fold, a.i AS a, b.i AS b, (b.cy - a.cy + a.y)::DOUBLE / (b.cw - a.cw + a.w) AS mean
+  FROM c a JOIN c b ON a.fold = b.fold AND b.i >= a.i),
+low AS (SELECT fold, a, b, min(mean) OVER (PARTITION BY fold, a ORDER BY b DESC) AS least FROM runs),
+fit AS (SELECT fold, b AS i, max(least) AS q FROM low GROUP BY fold, b)
+SELECT CAST(tr.fold AS INT) AS fold, tr.TransactionID, {steady_sql('q', 6)} AS calibrated
+FROM tr JOIN g ON tr.fold = g.fold AND tr.score = g.score JOIN fit ON fit.fold = g.fold AND fit.i = g.i""",
+)
+def isotonic_folds(spark, folder):
+    """Five fits in one pass, each to the rows outside its fold."""
+    folds = F.explode(F.array_except(F.array(*map(F.lit, range(5))), F.array((F.col(ID) % 5).cast("int"))))
+    rows = scored(spark, folder, "orders").select(ID, LABEL, "score", F.lit(1).alias("_one"), folds.alias("fold"))
+    blocks = fit_blocks(rows, "score", LABEL, "_one", by=["fold"])
+    out = apply_blocks(rows, blocks, "score", "calibrated", by=["fold"])
+    return out.select("fold", ID, steady(F.col("calibrated"), 6).alias("calibrated"))
+
+
 @query("k05_platt_probabilities", "K5")
 def platt_probabilities(spark, folder):
     rows = scored(spark, folder, "orders")
