@@ -1,10 +1,11 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from timeward.names import DAY_SECONDS
-from timeward.operators.history import Measure, add_history, find_hot
+from timeward.operators.history import Measure, _suspects, add_history, find_hot
 
 def measures():
     return [
@@ -136,3 +137,44 @@ def test_times_must_be_whole_seconds(spark):
         add_history(rows, "e", "t", measures())
     with pytest.raises(ValueError, match="whole seconds"):
         add_history(rows, "e", "t", measures(), hot=rows.select("e").distinct(), base=rows)
+
+
+def _exactly(rows, columns, above, share=()):
+    found = {}
+    for c in columns:
+        counted = rows.groupBy(c).count().where(F.col("count") > above).collect()
+        values = {r[c] for r in counted if r[c] is not None or c in share}
+        if values:
+            found[c] = values
+    return found
+
+
+@pytest.mark.parametrize("above", [60, 100, 1000, 500_000])
+def test_sketched_candidates_give_the_exact_hot_set(spark, above):
+    """300,000 values, far more than a sketch tracks; some lie just above and just below each bound."""
+    rows = spark.range(900_000, numPartitions=13).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-7))
+        .when(F.col("id") % 9000 < 90, F.col("id") % 90)
+        .when(F.col("id") % 900_000 < 9000, F.lit(None))
+        .otherwise(F.col("id") % 300_000 + 1000)
+        .alias("card"),
+        F.concat(F.lit("d"), F.when(F.col("id") % 5 > 0, F.col("id") % 7919).otherwise(F.col("id"))).alias("device"),
+        F.lit(None).cast("date").alias("none"),
+    )
+    columns = ["card", "device", "none"]
+    wanted = _exactly(rows, columns, above, share=["none"])
+    for sure in ({}, {"sure": 0}):
+        hot = find_hot(rows, columns, above, share_missing=["none"], **sure)
+        assert {c: {r[c] for r in df.collect()} for c, df in hot.items()} == wanted
+        assert all(df.schema[c].dataType == rows.schema[c].dataType for c, df in hot.items())
+    assert find_hot(rows.limit(0), columns, above) == {}
+
+
+def test_a_sketch_shuffles_no_row_per_entity(spark):
+    rows = spark.range(400_000, numPartitions=8).select(F.col("id").alias("card"))
+    seen = _suspects(rows, ["card"], 1000)
+    seen.collect()
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\(([^)]*)", plan)
+    assert keys and not any("_v" in k or "card" in k for k in keys)
+    assert [r["values"] for r in seen.collect()] == [[]]

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from timeward.names import DAY_SECONDS, ID
+from timeward.session import materialize
 
 # Rows of one entity above which its window is sliced. Spark re-reads a sliding frame for every
 # row, so the bound also caps that work.
@@ -77,33 +78,96 @@ def _frame_groups(measures: Sequence[Measure]) -> list[list[Measure]]:
     return groups + [[m for m in measures if m.frame == w] for w in widths[:-1]]
 
 
+# Entries of a heavy-hitter sketch: three quarters of its table of 2^17 slots. Its counts are off by at most 3.5 rows in
+# 2^17, and it lists whatever lies above twice that, so it lists all entities above a bound up to _SURE times as many rows.
+_TRACKED = 98_304
+_SURE = (1 << 17) // 7
+_MERGERS = 64
+
+
+def _as_text(entity: str) -> Column:
+    return F.col(entity).cast("string")
+
+
+def _suspects(rows: DataFrame, entities: Sequence[str], above: int) -> DataFrame:
+    """(column, rows, missing, values): per entity column those values that may lie above the bound.
+
+    One scan. Each task keeps a sketch of bounded size per column, sketches are merged in two steps, and the values of a
+    column are at most 2 * _SURE + 1: no more can have half of the bound or more.
+    """
+    states = [
+        F.expr(f"approx_top_k_accumulate(`_v{i}`, {_TRACKED}) FILTER (WHERE `_v{i}` IS NOT NULL)").alias(f"_s{i}")
+        for i in range(len(entities))
+    ]
+    missing = [F.count_if(F.col(f"_v{i}").isNull()).alias(f"_m{i}") for i in range(len(entities))]
+    merged = (
+        rows.select(*[_as_text(e).alias(f"_v{i}") for i, e in enumerate(entities)])
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_rows"), *states, *missing)
+        .groupBy(F.lit(0).alias("_all"))  # no rows at all give no row
+        .agg(
+            F.sum("_rows").alias("_rows"),
+            *[F.expr(f"approx_top_k_combine(_s{i}, {_TRACKED})").alias(f"_s{i}") for i in range(len(entities))],
+            *[F.sum(f"_m{i}").alias(f"_m{i}") for i in range(len(entities))],
+        )
+    )
+    listed = [
+        F.struct(
+            F.lit(e).alias("column"),
+            F.coalesce(F.col("_rows"), F.lit(0)).alias("rows"),
+            F.coalesce(F.col(f"_m{i}"), F.lit(0)).alias("missing"),
+            F.expr(f"transform(filter(approx_top_k_estimate(_s{i}, {2 * _SURE + 1}), f -> f.count > {above // 2}), f -> f.item)").alias("values"),
+        )
+        for i, e in enumerate(entities)
+    ]
+    return merged.select(F.inline(F.array(*listed)))
+
+
+def _counted(rows: DataFrame, entities: Sequence[str]) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(e).alias("column"), _as_text(e).alias("value")) for e in entities])
+    return rows.select(F.inline(pairs))
+
+
 def find_hot(
     rows: DataFrame,
     entities: Sequence[str],
     above: int = SLICE_ABOVE,
     *,
     share_missing: Sequence[str] = (),
+    sure: int = _SURE,
 ) -> dict[str, DataFrame]:
     """For each entity column that has any value on more than ``above`` rows, those values.
 
-    One pass counts all columns, combining before the shuffle; at most one row per column comes
-    back to the driver. A missing value counts only for columns in ``share_missing``.
+    A sketch names the few values that may be hot, and only they are counted exactly. Beyond ``sure * above`` rows
+    a sketch might miss one; then all values are counted, with map-side combine. Either way the hot values are written
+    once, and one row per column comes back to the driver. A missing value counts only for columns in ``share_missing``.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(e).alias("column"), F.col(e).cast("string").alias("value")) for e in entities]
-    )
-    counted = (
-        rows.select(F.inline(pairs))
-        .where(F.col("value").isNotNull() | F.col("column").isin(list(share_missing)))
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > above)
-    )
-    hot = [r["column"] for r in counted.select("column").distinct().collect()]
+    entities = list(dict.fromkeys(entities))
+    counts = F.count(F.lit(1)).alias("_n")
+    seen = materialize(_suspects(rows, entities, above), "suspects")
+    # One row per entity column.
+    sizes = seen.select("column", "rows", "missing", F.size("values").alias("named")).collect()
+    if not sizes or sizes[0]["rows"] <= above:
+        return {}
+    if sizes[0]["rows"] <= sure * above:
+        named = [r["column"] for r in sizes if r["named"] > 0]
+        found = seen.select("column", F.explode("values").alias("value"))
+        # At most 2 * _SURE + 1 values per column.
+        exact = _counted(rows, named).join(F.broadcast(found), ["column", "value"]) if named else found.limit(0)
+    else:
+        exact = _counted(rows, entities).where(F.col("value").isNotNull())
+    hot = exact.groupBy("column", "value").agg(counts).where(F.col("_n") > above).select("column", "value")
+    absent = [r["column"] for r in sizes if r["column"] in share_missing and r["missing"] > above]
+    if absent:
+        hot = hot.unionByName(
+            seen.where(F.col("column").isin(absent)).select("column", F.lit(None).cast("string").alias("value"))
+        )
+    hot = materialize(hot, "hot-entities")
+    present = {r["column"] for r in hot.select("column").distinct().collect()}
     return {
-        e: rows.groupBy(e).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > above).select(e)
+        e: hot.where(F.col("column") == e).select(F.col("value").cast(rows.schema[e].dataType).alias(e))
         for e in entities
-        if e in hot
+        if e in present
     }
 
 
