@@ -44,6 +44,17 @@ def test_marginals_equal_all_paths(n):
     assert np.allclose(expected, pairs)
 
 
+def test_score_equals_the_weighted_mean_over_all_paths():
+    r = np.random.default_rng(3)
+    field = lines.Field(r.normal(size=lines.N_FEATURES), r.normal(size=(2, 2)))
+    for text in (b"one", b"One line.\n\nBUY NOW!!! $$$", b"a b c\na b c\n\nlast words here 123\n", b"\n\nx"):
+        features, _ = lines.line_features(text)
+        paths = _all_paths(features @ field.weights, field.moves)
+        sizes = [len(x) for x in text.split(b"\n")]
+        want = sum(w * sum(n for n, y in zip(sizes, p) if y) for p, w in paths.items()) / sum(paths.values()) / sum(sizes)
+        assert lines.score_text(text, field) == pytest.approx(want)
+
+
 def test_neighbours_are_features():
     found, lengths = lines.line_features(b"one line.\nTHE NEXT!!\n\nlast")
     assert found.shape == (4, lines.N_FEATURES) and lengths.tolist() == [9, 10, 0, 4]
