@@ -484,6 +484,30 @@ def score_summary(scored: DataFrame, raw: str, calibrated: str, threshold: float
     ).crossJoin(F.broadcast(middle))  # one row
 
 
+def run_metrics(scored: DataFrame, raw: str, calibrated: str, label: str = LABEL, *, by: Sequence[str]) -> DataFrame:
+    """One row per run (``by``): the ranking by raw and by calibrated scores, and how many calibrated values differ.
+
+    Both kinds of score take one curve together; a calibrator that ties many scores shows in the last column.
+    """
+    by = list(by)
+    kinds = F.array(
+        *[F.struct(F.lit(k).alias("_kind"), F.col(c).cast("double").alias("_p")) for k, c in (("raw", raw), ("cal", calibrated))]
+    )
+    curve = score_curve(scored.select(*by, label, F.inline(kinds)), "_p", label, by=[*by, "_kind"])
+    ranked = ranking_from_curve(curve, by=[*by, "_kind"])
+    sizes = curve.groupBy(*[F.col(c).alias(f"_b_{c}") for c in by], F.col("_kind").alias("_b__kind")).agg(F.count("*").alias("_values"))
+    match = [ranked[c].eqNullSafe(sizes[f"_b_{c}"]) for c in (*by, "_kind")]
+    of = lambda kind, c: F.max(F.when(F.col("_kind") == kind, F.col(c)))
+    return (
+        ranked.join(sizes, match)
+        .groupBy(*by)
+        .agg(
+            *[of(kind, c).alias(f"{kind}_{c}") for kind in ("raw", "cal") for c in ("pr_auc", "roc_auc")],
+            of("cal", "_values").alias("distinct_calibrated"),
+        )
+    )
+
+
 def noise_summary(runs: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Per metric over repeated fits: mean, sample sd (0 for one run), min, max and range."""
     pairs = F.array(

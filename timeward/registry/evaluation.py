@@ -26,6 +26,7 @@ from timeward.operators.metrics import (
     ranking_metrics,
     reliability,
     roc_points,
+    run_metrics,
     score_curve,
     score_histogram,
     score_summary,
@@ -472,3 +473,27 @@ def noise_by_priority(spark, folder):
     )
     found = noise_summary(runs, ["mean_price", "top_key"])
     return _steady(found, "mean", "sd", "low", "high", "range", digits=4)
+
+
+_KINDS = """kd AS (SELECT TransactionID % 5 AS run, 'raw' AS kind, score AS s, isFraud, TransactionAmt FROM sc
+  UNION ALL SELECT TransactionID % 5, 'cal', round(probability * 20) / 20, isFraud, TransactionAmt FROM sc)"""
+
+
+@query(
+    "d26_noise_of_both_scores",
+    "D26",
+    f"""{scored_sql('orders')}, {_KINDS}, {curve_cte('run, kind', 'kd', 's')},
+per AS (SELECT run, kind, {_AP} AS ap, {_ROC} AS roc, count(*)::DOUBLE AS n FROM cv GROUP BY run, kind),
+m AS (SELECT kind || '_pr_auc' AS metric, ap AS v FROM per UNION ALL SELECT kind || '_roc_auc', roc FROM per
+  UNION ALL SELECT 'distinct_calibrated', n FROM per WHERE kind = 'cal')
+SELECT metric, count(*) AS runs, {steady_sql('avg(v)', 5)} AS "mean", {steady_sql('coalesce(stddev_samp(v), 0)', 5)} AS sd,
+  {steady_sql('min(v)', 5)} AS low, {steady_sql('max(v)', 5)} AS high, {steady_sql('max(v) - min(v)', 5)} AS "range" FROM m GROUP BY metric""",
+)
+def noise_of_both_scores(spark, folder):
+    """Five runs' rankings by raw scores and by calibrated ones, which a step function ties."""
+    rows = scored(spark, folder, "orders").select(
+        (F.col("TransactionID") % 5).alias("run"), "isFraud", "TransactionAmt", "score", (F.round(F.col(P) * 20) / 20).alias("calibrated")
+    )
+    runs = run_metrics(rows, "score", "calibrated", by=["run"])
+    found = noise_summary(runs, ["raw_pr_auc", "raw_roc_auc", "cal_pr_auc", "cal_roc_auc", "distinct_calibrated"])
+    return _steady(found, "mean", "sd", "low", "high", "range", digits=5)
