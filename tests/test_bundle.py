@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from timeward.contract.tables import ContractError
 from timeward.functions.derive import Derivation, DerivationError, apply_derivations, frequency_map
 from timeward.operators.calibration import fit_calibrator
-from timeward.plans.bundle import Bundle, BundleError, load_bundle, promoted_bundle, save_bundle, score_promoted
+from timeward.plans.bundle import FORMAT, Bundle, BundleError, load_bundle, promoted_bundle, save_bundle, score_promoted
 from timeward.plans.gate import GateError
 from timeward.plans.models import TreeInputs, fit_trees
 from timeward.registry.modelling import _contract_of
@@ -73,7 +73,7 @@ def test_parts_must_be_those_of_the_manifest(spark, rows, fitted, tmp_path):
         load_bundle(spark, path)
     path = save_bundle(fitted, str(tmp_path / "b"))
     text = (next((tmp_path / "b" / "r1" / "manifest").glob("part-*"))).read_text()
-    for old, new, problem in (('"x", ', "", "values"), ('"format": 1', '"format": 9', "format")):
+    for old, new, problem in (('"x", ', "", "values"), (f'"format": {FORMAT}', '"format": 9', "format")):
         spark.createDataFrame([(text.strip().replace(old, new),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
         with pytest.raises(BundleError, match=problem):
             load_bundle(spark, path)
