@@ -15,7 +15,7 @@ from timeward.names import ID, LABEL
 from timeward.operators.isotonic import apply_blocks, fit_blocks
 from timeward.operators.metrics import probability_losses, ranking_metrics
 from timeward.operators.ordered import hash_rank
-from timeward.session import materialize
+from timeward.session import materialize, scratch_path
 
 # The methods in order of preference, the folds, and the ranking a method may cost.
 METHODS = ("isotonic", "platt")
@@ -59,6 +59,14 @@ class Calibrator:
             writer().overwrite().save(path)
 
 
+def reread(model: LogisticRegressionModel) -> LogisticRegressionModel:
+    """The model as it is stored. A fresh fit drags its training summary, and with that the session, into every
+    task that applies it; a session that has observed anything can't be sent."""
+    path = scratch_path(SparkSession.active(), "logistic")
+    model.write().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def load_calibrator(spark: SparkSession, method: str, path: str) -> Calibrator:
     if method == "isotonic":
         return Calibrator(method, spark.read.parquet(path))
@@ -102,7 +110,7 @@ def fit_calibrator(
                 tol=1e-9,
             )
             vectors = VectorAssembler(inputCols=["_score"], outputCol="_x").transform(points)
-            return Calibrator(method, fit.fit(vectors))
+            return Calibrator(method, reread(fit.fit(vectors)))
         finally:
             points.unpersist()
     raise ValueError(f"unknown calibration method {method!r}, expected one of {METHODS}")
