@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeward.llm import mixing, near_copies, outliers, packing, secret_scan
+from timeward.llm import mixing, near_copies, outliers, packing, secret_scan, simhash
 from timeward.session import materialize
 
 
@@ -20,8 +20,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of near copies, by 5-word shingles from a similarity of 0.8 on, one document stays."""
-    return near_copies.one_of_each(docs)
+    """Of each group of near copies one document stays: by SimHash tiles, as op10 links them, and by 5-word shingles
+    from a similarity of 0.8 on."""
+    return near_copies.one_of_each(docs, radius=simhash.RADIUS)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -5,6 +5,9 @@ and the components of those edges hold every pair that shares any band. Inside s
 shingles are compared exactly, so bands decide only what is compared. At a similarity of 0.8 a pair shares
 none of the bands with a chance of 8 in a million, and with less than that above.
 
+With a ``radius`` the SimHash tiles of :mod:`timeward.llm.simhash` link texts as well: every pair of fingerprints that
+lie that close, whatever their shingles share.
+
 Groups are cut into tiles by the bytes of their sets; a pair of tiles returns a spanning forest of its
 links, never all pairs, so that a large group of near copies costs no more rows than its members and tiles.
 """
@@ -18,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from timeward.llm import simhash
 from timeward.llm.components import components
 from timeward.llm.simhash import _LOWER
 from timeward.llm.text import arrow_column, as_bytes, fresh, settle
@@ -145,11 +149,26 @@ def links(texts: DataFrame, groups: DataFrame, width: int, similarity: float, ti
     return alone.unionByName(across.select("left", "right")).mapInArrow(_compare(similarity), "a long, b long")
 
 
+def fingerprint_links(prints: DataFrame, radius: int, tile: int = simhash.TILE) -> DataFrame:
+    """Edges ``a, b`` between keys of ``prints`` (``key, fp``) that connect exactly what chains of fingerprints within
+    ``radius`` connect. Each fingerprint is stood for by its least key."""
+    least = materialize(prints.groupBy("fp").agg(F.min("key").alias("least")), "prints")
+    alike = prints.join(least, "fp").where("key <> least").select(F.col("key").alias("a"), F.col("least").alias("b")).distinct()
+    close = simhash.links(least.select("fp"), radius, tile)
+    for end in ("a", "b"):
+        close = close.join(least.select(F.col("fp").alias(end), F.col("least").alias(f"key_{end}")), end)
+    return alike.unionByName(close.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
+
+
 def one_of_each(
-    docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, tile: int = TILE_BYTES
+    docs: DataFrame,
+    width: int = WIDTH,
+    similarity: float = SIMILARITY,
+    tile: int = TILE_BYTES,
+    radius: int | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` (``doc_id, text``) without near copies: of each group that chains of pairs from
-    ``similarity`` on connect the row with the smallest doc_id; of repeated rows with that id one. All
+    ``similarity`` on, or with a ``radius`` of pairs of fingerprints within it, connect the row with the smallest doc_id; of repeated rows with that id one. All
     columns stay; the order does not.
 
     A-Z are lower-cased. Null, empty and blank texts are alike. Null ids lose against any id; a group
@@ -158,16 +177,22 @@ def one_of_each(
     settle(docs.sparkSession)
     name, best_id, best_key = (fresh(docs, n) for n in ("text_key", "best_id", "best_key"))
     keyed = docs.withColumn(name, F.xxhash64(F.coalesce("text", F.lit(""))))
-    held = materialize(
-        keyed.select("doc_id", F.col(name).alias("key"), arrow_column(_sketches(width), "array<long>")("text").alias("bands")),
-        "sketches",
-    )
+    sketch = [F.col(name).alias("key"), arrow_column(_sketches(width), "array<long>")("text").alias("bands")]
+    printed = keyed
+    if radius is not None:
+        fp = fresh(keyed, "fp")
+        printed = simhash.with_fingerprint(keyed, out=fp)
+        sketch.append(F.col(fp).alias("fp"))
+    held = materialize(printed.select("doc_id", *sketch), "sketches")
     banded = held.select("key", F.explode("bands").alias("band"))
     least = banded.groupBy("band").agg(F.min("key").alias("b"), F.max("key").alias("last")).where("b < last").drop("last")
     close = banded.join(least, "band").where("key <> b").select(F.col("key").alias("a"), "b").distinct()
     groups = materialize(components(close).select(F.col("node").alias("key"), "root"), "groups")
     texts = keyed.select(F.col(name).alias("key"), "text").join(groups, "key", "left_semi").dropDuplicates(["key"])
-    found = components(links(texts, groups, width, similarity, tile)).withColumnRenamed("node", "key")
+    linked = links(texts, groups, width, similarity, tile)
+    if radius is not None:
+        linked = linked.unionByName(fingerprint_links(held.select("key", "fp"), radius))
+    found = components(linked).withColumnRenamed("node", "key")
     ids = held.groupBy("key", "doc_id").agg(F.count("*").alias("n"))
     best = (
         ids.join(found, "key", "left")
