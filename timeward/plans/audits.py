@@ -7,8 +7,10 @@ is ordered are counted values. Only per-column numbers, bounded by the schema, a
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +25,81 @@ _FLOOR = 1e-6
 PSI_BINS = 10
 
 
-def unpivot(rows: DataFrame, columns: Sequence[str], *keep: Column | str) -> DataFrame:
-    """One record per non-missing cell: the kept columns, ``column`` and ``value``."""
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
-    return rows.select(*keep, F.inline(cells)).where(F.col("value").isNotNull())
+def _placed(rows: DataFrame, cells: Sequence[Column], *keep: Column | str) -> DataFrame:
+    """One record per cell: the kept columns, ``_place`` in ``cells`` and ``_cell``.
+
+    The array is made below the generator, in compiled code; as the generator's own argument it would be
+    interpreted cell by cell. The outer form, because the plain one is planned with a filter that makes the array
+    twice. A place is a number, which is cheaper to group by than a name.
+    """
+    held = rows.select(*keep, F.array(*cells).alias("_cells"))
+    return held.select(*[c for c in held.columns if c != "_cells"], F.posexplode_outer("_cells").alias("_place", "_cell"))
+
+
+def _name(columns: Sequence[str]) -> Column:
+    """The column at ``_place``."""
+    return F.get(F.array(*[F.lit(c) for c in columns]), F.col("_place"))
+
+
+# Rows that are counted at a time.
+_AT_ONCE = 16_384
+
+
+def _tally(keys: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts of the values at each place of ``_cells``, apart for each combination of the ``keys`` columns before it."""
+
+    def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        seen: dict[tuple, int] = {}
+        groups = zip(*(rows.column(k).to_pylist() for k in range(keys))) if keys else [()] * rows.num_rows
+        codes = np.array([seen.setdefault(g, len(seen)) for g in groups], np.int64)
+        flat = rows.column("_cells").combine_chunks().flatten()
+        # Minus zero is zero, as it is when Spark groups.
+        cells = flat.to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1) + 0.0
+        present = flat.is_valid().to_numpy(zero_copy_only=False).reshape(cells.shape)
+        places, values, kinds, counts = [], [], [], []
+        for place in range(cells.shape[1]):
+            here = present[:, place]
+            levels, at = np.unique(cells[here, place], return_inverse=True)
+            found = np.bincount(at * len(seen) + codes[here])
+            hit = np.flatnonzero(found)
+            places.append(np.full(len(hit), place, np.int32))
+            values.append(levels[hit // len(seen)])
+            kinds.append(hit % len(seen))
+            counts.append(found[hit])
+        kind = np.concatenate(kinds)
+        combos = list(seen)
+        sides = [pa.array([c[k] for c in combos], rows.schema.field(k).type).take(pa.array(kind)) for k in range(keys)]
+        made = [pa.array(np.concatenate(x)) for x in (places, values, counts)]
+        return pa.RecordBatch.from_arrays([*sides, *made], names=[*rows.schema.names[:keys], "_place", "value", "_n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.num_rows
+            if size >= _AT_ONCE:
+                yield flush(held)
+                held, size = [], 0
+        if held:
+            yield flush(held)
+
+    return run
+
+
+def _counted(rows: DataFrame, columns: Sequence[str], *keep: Column) -> DataFrame:
+    """``column, value``, the kept columns and ``n``: how often each non-missing value occurs.
+
+    Batches are counted where they lie, a column at a time; only counts are shuffled.
+    """
+    held = rows.select(*keep, F.array(*[F.col(c).cast("double") for c in columns]).alias("_cells"))
+    kept = held.columns[:-1]
+    types = "".join(f"{c} {held.schema[c].dataType.simpleString()}, " for c in kept)
+    parts = held.mapInArrow(_tally(len(kept)), f"{types}_place int, value double, _n long")
+    sums = parts.groupBy("_place", "value", *kept).agg(F.sum("_n").alias("n"))
+    return sums.select(_name(columns).alias("column"), "value", *kept, "n")
 
 
 def counted_cells(
@@ -48,9 +119,9 @@ def counted_cells(
     """
     window = F.lit(None).cast("string")
     if train is not None and holdout is not None:
-        axis = rows.agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
-        rows = rows.crossJoin(F.broadcast(axis))  # one row
-        share = (F.col(time) - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0))
+        # Two numbers, so that rows outside the windows go before anything wide is computed.
+        low, high = (F.lit(x).cast(rows.schema[time].dataType) for x in rows.agg(F.min(time), F.max(time)).first())
+        share = (F.col(time) - low) / F.nullif(high - low, F.lit(0))
         inside = lambda w: (share >= F.lit(w[0])) & (share <= F.lit(w[1]))
         window = F.when(inside(train), "train").when(inside(holdout), "holdout")
     kept = {
@@ -58,11 +129,9 @@ def counted_cells(
         "segment": (F.lit(None) if segment is None else F.col(segment)).cast("string"),
         "label": F.lit(0) if label is None else F.coalesce(F.col(label).cast("int"), F.lit(0)),
     }
-    cells = unpivot(rows, columns, *[c.alias(f"_{n}") for n, c in kept.items()])
     if segment is None and train is not None:
-        cells = cells.where(F.col("_window").isNotNull())
-    store = cells.groupBy("column", "value", *[F.col(f"_{n}").alias(n) for n in kept]).agg(F.count(F.lit(1)).alias("n"))
-    return materialize(store, "counted-cells")
+        rows = rows.where(window.isNotNull())
+    return materialize(_counted(rows, columns, *[c.alias(n) for n, c in kept.items()]), "counted-cells")
 
 
 def _windows(store: DataFrame) -> DataFrame:
@@ -156,24 +225,20 @@ def distribution_shift_of(store: DataFrame, *, bins: int = PSI_BINS) -> DataFram
 def missing_families(rows: DataFrame, columns: Sequence[str], *, id: str = ID) -> DataFrame:
     """(column, family): columns missing on exactly the same rows share a family.
 
-    A pattern is recognised by its count and an order-free sum of row hashes.
+    A pattern is recognised by its count and order-free sums of both halves of row hashes.
     """
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).isNull().alias("_m")) for c in columns]
-    )
-    mark = F.when(F.col("_m"), F.xxhash64(id).cast("decimal(38,0)"))
-    patterns = (
-        rows.select(id, F.inline(cells))
-        .groupBy("column")
-        .agg(F.count_if("_m").alias("_n"), F.coalesce(F.sum(mark), F.lit(0)).alias("_s"))
-    )
-    named = patterns.groupBy("_n", "_s").agg(F.min("column").alias("family"))
-    return patterns.join(named, ["_n", "_s"]).select("column", "family")
+    key = F.xxhash64(id)
+    halves = [F.shiftrightunsigned(key, 32).alias("_high"), key.bitwiseAND(F.lit(0xFFFFFFFF)).alias("_low")]
+    cells = _placed(rows, [F.col(c).isNull() for c in columns], *halves)
+    part = lambda c: F.sum(F.when(F.col("_cell"), F.col(c)).otherwise(F.lit(0)))
+    sums = cells.groupBy("_place").agg(F.count_if("_cell").alias("_n"), part("_high").alias("_h"), part("_low").alias("_l"))
+    patterns = sums.select(_name(columns).alias("column"), "_n", "_h", "_l")
+    named = patterns.groupBy("_n", "_h", "_l").agg(F.min("column").alias("family"))
+    return patterns.join(named, ["_n", "_h", "_l"]).select("column", "family")
 
 
 def distinct_values(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    counted = unpivot(rows, columns).groupBy("column", "value").agg(F.lit(1).alias("_o"))
-    return counted.groupBy("column").agg(F.count(F.lit(1)).alias("levels"))
+    return _counted(rows, columns).groupBy("column").agg(F.count(F.lit(1)).alias("levels"))
 
 
 def redundancy(
@@ -191,23 +256,17 @@ def redundancy(
         ordered = sorted(group, key=lambda c: (-levels.get(c, 0), c))
         pairs += [(name, c, ordered[0]) for c in ordered]
     number = lambda c: F.col(c).cast("double")
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(g).alias("family"),
-                F.lit(c).alias("column"),
-                F.lit(r).alias("representative"),
-                # A representative is not held against itself.
-                (F.lit(None).cast("double") if c == r else number(c)).alias("_own"),
-                number(r).alias("_other"),
-            )
-            for g, c, r in pairs
-        ]
-    )
+    # A representative is not held against itself.
+    cells = [
+        F.struct((F.lit(None).cast("double") if c == r else number(c)).alias("own"), number(r).alias("other"))
+        for _, c, r in pairs
+    ]
+    names = [F.get(F.array(*[F.lit(x) for x in side]), F.col("_place")) for side in zip(*pairs)]
     found = (
-        rows.select(F.inline(cells))
-        .groupBy("family", "column", "representative")
-        .agg(F.corr("_own", "_other").alias("correlation"))
+        _placed(rows, cells)
+        .groupBy("_place")
+        .agg(F.corr("_cell.own", "_cell.other").alias("correlation"))
+        .select(*[c.alias(n) for n, c in zip(("family", "column", "representative"), names)], "correlation")
     )
     return found.withColumn("redundant", F.coalesce(F.abs("correlation") >= F.lit(least), F.lit(False)))
 
