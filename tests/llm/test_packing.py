@@ -70,6 +70,16 @@ def test_forgetting_changes_nothing(monkeypatch):
         assert np.frombuffer(encoder.ids(text.encode()), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_what_is_remembered_is_bounded_in_bytes(monkeypatch):
+    """Long words count for what they take: a few of them fill the memory."""
+    monkeypatch.setattr(packing, "_CACHED", 100_000)
+    encoder = packing._Encoder(packing.default_vocabulary())
+    for k in range(40):
+        encoder.encode([" ".join(f"{chr(97 + k % 26)}{'xyz' * 500}{n}" for n in range(10)).encode()])
+    held = {**encoder.words.old, **encoder.words.young}
+    assert sum(len(w) + len(ids) for w, ids in held.items()) < 2 * 100_000 + 100_000
+
+
 def test_buckets(spark, tmp_path):
     packed = packing.pack(hard_docs(spark).select("doc_id", "text"))
     packing.write_buckets(packed, str(tmp_path / "packed"))

@@ -25,9 +25,11 @@ END = 2
 # Words of letters and a tail of signs without apostrophes, digits or combining marks: the vocabulary splits each part
 # off as one, whatever stands around it.
 _PLAIN = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*()+=/_~^-]*)|(.+))$", re.M)
-# Words that one generation of the memory holds, and bytes of text that are encoded at a time.
-_CACHED = 800_000
-_AT_ONCE = 4 << 20
+# Bytes that one generation of the memory may take, and bytes of text that are encoded at a time. A worker outlives its
+# tasks, and what it remembers stands beside the heap of whatever runs next.
+_CACHED = 64 << 20
+_ENTRY = 200  # of a word, besides its letters and at most one id for each of them
+_AT_ONCE = 1 << 19
 
 
 def pieces_of(length: int, longest: int = LONGEST) -> list[int]:
@@ -38,18 +40,22 @@ def pieces_of(length: int, longest: int = LONGEST) -> list[int]:
 
 
 class _Memory:
-    """Values by key in two generations: when the younger is full, the older goes and what is used again moves up."""
+    """Values by key in two generations: when the younger is full, the older goes and what is used again moves up.
+
+    Full is a number of bytes, so that long keys count for what they take.
+    """
 
     def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
+        self.most, self.bytes, self.young, self.old = most, 0, {}, {}
 
     def turn(self) -> None:
-        if len(self.young) >= self.most:
-            self.young, self.old = {}, self.young
+        if self.bytes >= self.most:
+            self.bytes, self.young, self.old = 0, {}, self.young
 
     def missing(self, keys: set) -> list:
         """Keys that neither generation knows, of those that the younger does not; the others move up."""
         young, old = self.young, self.old
+        self.bytes += _ENTRY * len(keys) + 5 * sum(map(len, keys))
         unknown = []
         for key in keys:
             if (value := old.get(key)) is None:
