@@ -7,6 +7,7 @@ from timeward.contract.tables import ContractError
 from timeward.functions.derive import Derivation, DerivationError, apply_derivations, frequency_map
 from timeward.operators.calibration import fit_calibrator
 from timeward.plans.bundle import FORMAT, Bundle, BundleError, load_bundle, promoted_bundle, save_bundle, score_promoted
+from timeward.plans import models
 from timeward.plans.gate import GateError
 from timeward.plans.models import TreeInputs, fit_trees
 from timeward.registry.modelling import _contract_of
@@ -134,3 +135,14 @@ def test_a_run_logged_twice_leaves_its_rows_once(spark, tmp_path):
     found = read_log(spark, path)
     assert found.columns == ["id", "run", "v", "more"] and found.where("more IS NULL").count() == 4
     assert dict(found.dtypes)["run"] == "string"
+
+
+def test_a_fit_is_dealt_by_rows_not_by_files(rows, monkeypatch):
+    """A task of a fit holds a fixed number of rows, however few files or splits they come from."""
+    seen = []
+    fit = models.GBTClassifier.fit
+    monkeypatch.setattr(models, "_FIT_ROWS", 50)
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, data: seen.append(data.rdd.getNumPartitions()) or fit(self, data))
+    held = rows.coalesce(1)
+    model = fit_trees(held.where("TransactionID < 300"), held.where("TransactionID >= 300"), TreeInputs(("x",), ("ProductCD",)), max_iter=1, maxDepth=2)
+    assert seen == [8] and model.trees == 1
