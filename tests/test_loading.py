@@ -5,6 +5,7 @@ from timeward.sources.pinned import (
     Pin,
     cast_back,
     fractional_counts,
+    header_lines,
     header_mismatches,
     identity_pins,
     integer_columns,
@@ -201,3 +202,18 @@ def test_proofs_of_written_tables(spark, tmp_path):
         require_same_keys(proved_write(rows.withColumn("id", F.col("id") + 1), str(tmp_path / "d"), key="id"), again, "x")
     nothing = proved_write(rows.limit(0), str(tmp_path / "e"), key="id", counts={"zero": F.col("v") == 0})
     assert (nothing.rows, nothing.found) == (0, {})
+
+
+def test_header_lines_hold_no_lines_back(spark, tmp_path):
+    """The first line of each file, whatever its size, with nothing sorted or grouped to find it."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k in range(5):
+        (folder / f"{k}.csv").write_text(f"a{k},b\n" + "1,2\n" * (30_000 if k == 3 else 3))
+    (folder / "empty.csv").write_text("")
+    (folder / "blank.csv").write_text("\nx,y\n")
+    found = header_lines(spark, str(folder))
+    got = {r["file"].rsplit("/", 1)[1]: r["header"] for r in found.collect()}
+    assert got == {f"{k}.csv": f"a{k},b" for k in range(5)} | {"blank.csv": ""}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Sort" not in plan and "Exchange" not in plan

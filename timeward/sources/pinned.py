@@ -12,6 +12,8 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -190,17 +192,27 @@ def load_inferred(spark: SparkSession, path: str) -> DataFrame:
 # ---- checks on the file ----------------------------------------------------------------------
 
 
+def _first_of_each():
+    """The first row of each file, as rows pass by: an aggregate would sort all lines of a file's first block."""
+
+    def run(batches):
+        seen = set()
+        for batch in batches:
+            files = batch.column("file").dictionary_encode()
+            new = [k for k, name in enumerate(files.dictionary.to_pylist()) if name not in seen]
+            if new:
+                seen.update(files.dictionary.take(pa.array(new)).to_pylist())
+                yield batch.take(pa.array([pc.index(files.indices, pa.scalar(k, pa.int32())).as_py() for k in new]))
+
+    return run
+
+
 def header_lines(spark: SparkSession, path: str) -> DataFrame:
     """``file, header``: the first line of each file at ``path``."""
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
-    )
-    # A file's first line is the first one read from its start.
-    return (
-        lines.where("start = 0")
-        .withColumn("place", F.monotonically_increasing_id())
-        .groupBy("file")
-        .agg(F.min_by("value", "place").alias("header"))
+    lines = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
+    # One task reads a file from its start, and its first line is the first one read.
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header")).mapInArrow(
+        _first_of_each(), "file string, header string"
     )
 
 
