@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from timeward.names import DAY_SECONDS
-from timeward.operators.history import Measure, _suspects, add_history, find_hot
+from timeward.operators.history import Measure, Sliced, _suspects, add_history, find_hot
 
 def measures():
     return [
@@ -122,6 +122,49 @@ def test_documented_window_fixture(spark, sliced):
     assert {r["id"]: r["n"] for r in shared.collect()}[5] == 1
 
 
+@pytest.mark.parametrize("share", [False, True])
+@pytest.mark.parametrize("listed", [False, True])
+def test_runs_of_days_carry_their_totals(spark, share, listed):
+    """Unbounded frames are cut into runs of days, of about ``slice_rows`` rows each."""
+    draw = random.Random(5)
+    rows = [
+        (i, draw.randrange(40) * DAY_SECONDS + draw.randrange(3), draw.choice(["hot", "hot", "b", "c", None]), draw.randrange(99) + 1e6)
+        for i in range(300)
+    ]
+    df = spark.createDataFrame(rows, "id long, t long, e string, v double")
+    hot = df.select("e").distinct() if listed else Sliced.ALL
+    found = add_history(df, "e", "t", measures(), hot=hot, share_missing_entity=share, slice_rows=7)
+    got = {r["id"]: r for r in found.collect()}
+    assert len(got) == len(rows)
+    for i, expected in brute_force(rows, share).items():
+        for name, value in expected.items():
+            if value is None:
+                assert got[i][name] is None, (i, name)
+            else:
+                assert got[i][name] == pytest.approx(value, rel=1e-9, abs=1e-6), (i, name)
+
+
+def _shuffled(spark, df):
+    """Bytes that were shuffled to make ``df``; no other job may run meanwhile."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    written = lambda: store.executorSummary("driver").totalShuffleWrite()
+    before = written()
+    df.write.format("noop").mode("overwrite").save()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return written() - before
+
+
+def test_all_sliced_shuffles_few_records(spark):
+    """No copy or carried total of a row's unbounded states, no row shuffled once more for the direct route."""
+    rows = spark.range(20_000, numPartitions=2).select(
+        "id", (F.col("id") % 900 * DAY_SECONDS).alias("t"), (F.col("id") % 3001).alias("e"),
+        *[(F.hash("id", F.lit(k)) % 1000).cast("double").alias(f"v{k}") for k in range(20)],
+    )
+    wide = [Measure("n", "count", DAY_SECONDS), *[Measure(f"m{k}", "avg", None, F.col(f"v{k}")) for k in range(20)]]
+    hot = find_hot(rows, ["e"], 0)["e"]
+    assert _shuffled(spark, add_history(rows, "e", "t", wide, hot=hot)) < 9_000_000
+
+
 def test_measures_are_checked():
     with pytest.raises(ValueError):
         Measure("x", "median")
