@@ -146,3 +146,22 @@ def test_a_fit_is_dealt_by_rows_not_by_files(rows, monkeypatch):
     held = rows.coalesce(1)
     model = fit_trees(held.where("TransactionID < 300"), held.where("TransactionID >= 300"), TreeInputs(("x",), ("ProductCD",)), max_iter=1, maxDepth=2)
     assert seen == [8] and model.trees == 1
+
+
+def test_all_fits_share_one_dealing(rows, monkeypatch):
+    """Each fit used to prepare and shuffle the same rows once more; the models are those of single fits."""
+    kept = rows.sparkSession.sparkContext._jsc.getPersistentRDDs
+    rows.count()
+    held, dealt, deal = set(kept()), [], models._dealt
+    monkeypatch.setattr(models, "_dealt", lambda df: dealt.append(1) or deal(df))
+    parts = rows.where("TransactionID < 300"), rows.where("TransactionID >= 300")
+    inputs = TreeInputs(("x",), ("ProductCD",))
+    fixed = {"max_iter": 2, "subsamplingRate": 0.7}
+    found = models.fit_all_trees(*parts, inputs, settings=[{"seed": 1, "maxDepth": 2}, {"seed": 2, "maxDepth": 3}], **fixed)
+    assert len(dealt) == 1
+    assert [m.params for m in found] == [{"subsamplingRate": 0.7, "maxDepth": d} for d in (2, 3)]
+    for model, seed in zip(found, (1, 2)):
+        alone = fit_trees(*parts, inputs, seed=seed, maxDepth=seed + 1, **fixed)
+        assert alone.params == model.params
+        assert alone.pipeline.stages[-1].toDebugString.split("\n")[1:] == model.pipeline.stages[-1].toDebugString.split("\n")[1:]
+    assert set(kept()) == held
