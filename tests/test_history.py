@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from timeward.names import DAY_SECONDS
 from timeward.operators.history import Measure, Sliced, _suspects, add_history, find_hot
+from timeward.registry import steady
+from timeward.registry.history import rounded
 
 def measures():
     return [
@@ -221,3 +223,14 @@ def test_a_sketch_shuffles_no_row_per_entity(spark):
     keys = re.findall(r"hashpartitioning\(([^)]*)", plan)
     assert keys and not any("_v" in k or "card" in k for k in keys)
     assert [r["values"] for r in seen.collect()] == [[]]
+
+
+def test_doubles_are_rounded_in_doubles(spark):
+    """As the decimal rounding does, without a decimal per value."""
+    values = [None, float("nan"), 0.0, -0.0, -1e-7, 0.5, 2 / 3, -2 / 3, 0.123455, -0.123455, 1234567.891234, -99999.999996, 86400.0]
+    rows = spark.createDataFrame([(v,) for v in values], "client_amt_avg_prior double")
+    made = rounded(rows)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan.replace("rint(", "")
+    found = [repr(r[0]) for r in made.collect()]
+    assert found == [repr(r[0]) for r in rows.select(steady(F.col("client_amt_avg_prior"))).collect()]

@@ -30,7 +30,7 @@ from timeward.plans.features import (
     transaction_features,
 )
 from timeward.policy import Policy
-from timeward.registry import query, steady, steady_sql
+from timeward.registry import query, steady, steady_double, steady_sql
 from timeward.registry.adapters import CLIENT_SQL, transactions, tx_sql
 
 _POLICY = Policy()
@@ -126,7 +126,7 @@ def _windowed_sql(source: str, columns: dict[str, str]) -> str:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    found = {c: steady(F.col(c)) for c in df.columns if c in _FLOATS}
+    found = {c: steady_double(F.col(c)) for c in df.columns if c in _FLOATS}
     return df.withColumns(found) if found else df
 
 
