@@ -150,3 +150,35 @@ def test_hard_rows_and_clashing_names(spark):
     assert (nothing.documents, nothing.terms) == (0, 0)
     assert search.search(nothing, items).collect() == []
     assert search.search(index, items.limit(0)).collect() == []
+
+
+def test_a_file_holds_one_block(spark):
+    docs = [(k, f"common word{k % 7}" + " rare" * (k % 9_000 == 5)) for k in range(2 * search.BLOCK_DOCS + 100)]
+    index = search.build(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1))
+    files = index.blocks.groupBy(F.input_file_name()).count().collect()
+    assert [r["count"] for r in files] == [1, 1, 1]
+    items = [(1, "rare word5"), (2, "common")]
+    assert answers(search.search(index, spark.createDataFrame(items, ITEMS))) == brute(docs, items)
+
+
+def test_passes_bound_what_tasks_keep(spark, monkeypatch):
+    passes = []
+    monkeypatch.setattr(search, "HITS", 60)
+    monkeypatch.setattr(search, "materialize", lambda df, name, f=search.materialize: passes.append(name) or f(df, name))
+    docs = [(k, prose(k, 30)) for k in range(80)]
+    items = [(k, prose(500 + k, 3)) for k in range(14)] + [(None, "alpha1")]
+    index = search.build(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert answers(search.search(index, spark.createDataFrame(items, ITEMS), k=20)) == brute(docs, items)
+    assert passes.count("found") == 5
+
+
+def test_hits_leave_a_task_in_parts(monkeypatch):
+    monkeypatch.setattr(search, "_ROWS", 7)
+    texts = [prose(k, 20).encode() for k in range(50)]
+    block = search._block(list(range(50)), texts, 50, 1000)
+    names = block["terms"].split(b" ")
+    asked = [(k, [(names[k], 5)]) for k in range(4)]
+    parts = list(search._search(asked, 20)(iter([search.pa.RecordBatch.from_pylist([block], search._ARROW_BLOCK)])))
+    whole = [tuple(r.values()) for p in parts for r in p.to_pylist()]
+    assert len(parts) > 1 and max(p.num_rows for p in parts) <= 7
+    assert len(set(whole)) == len(whole) == sum(min(20, int(f)) for f in np.frombuffer(block["frequencies"], "<u4")[:4])
