@@ -182,3 +182,16 @@ def test_hits_leave_a_task_in_parts(monkeypatch):
     whole = [tuple(r.values()) for p in parts for r in p.to_pylist()]
     assert len(parts) > 1 and max(p.num_rows for p in parts) <= 7
     assert len(set(whole)) == len(whole) == sum(min(20, int(f)) for f in np.frombuffer(block["frequencies"], "<u4")[:4])
+
+
+def test_small_batches_end_at_a_blocks_size(spark):
+    wide = spark.range(6, numPartitions=1).select(F.expr(f"repeat('x', {search.BLOCK_BYTES // 2 + 1})").alias("text"))
+
+    def rows(batches):
+        for batch in batches:
+            yield search.pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    before = spark.conf.get(search._BATCH_BYTES)
+    with search._small_batches(spark):
+        assert [r["n"] for r in wide.mapInArrow(rows, "n bigint").collect()] == [2, 2, 2]
+    assert spark.conf.get(search._BATCH_BYTES) == before
